@@ -46,10 +46,9 @@ def upsert(
         stored = target.select(*match, F.col(order_col).alias("_stored_order")).alias("s")
         is_older = F.col("s._stored_order") > F.col(f"f.{order_col}")
         fresh = fresh.alias("f").join(stored, _same_key("f", "s", match) & is_older, "left_anti")
-        replaced = fresh.select(*match)
-    else:
-        replaced = batch.select(*match).distinct()
+    # The keys come from the deduplicated rows: both uses need all columns up to the window, so
+    # they share one shuffle and a costly batch plan runs once.
     untouched = target.alias("t").join(
-        replaced.alias("r"), _same_key("t", "r", match), "left_anti"
+        fresh.select(*match).alias("r"), _same_key("t", "r", match), "left_anti"
     )
     return untouched.unionByName(fresh)

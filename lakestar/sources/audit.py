@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from ..specs import LONG, STRING, struct
-from .tables import exists
+from .tables import empty_table, exists
 
 AUDIT_SCHEMA = struct(
     job_id=LONG,
@@ -44,10 +44,9 @@ class LoadAudit:
     sys_name: str
 
     def _append(self, app: str, table: str, event: str, flag: bool | None, rows: int) -> None:
-        row = (self.job_id, self.job_name, self.sys_name, app, table, event, flag, rows)
-        self.spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(
-            self.path
-        )
+        values = (self.job_id, self.job_name, self.sys_name, app, table, event, flag, rows)
+        row = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, AUDIT_SCHEMA)]
+        self.spark.range(0, 1, 1, 1).select(*row).write.mode("append").parquet(self.path)
 
     def start(self, app: str, table: str, row_count: int) -> None:
         self._append(app, table, START, None, row_count)
@@ -70,7 +69,7 @@ class LoadAudit:
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
     if not exists(spark, path):
-        return spark.createDataFrame([], AUDIT_SCHEMA)
+        return empty_table(spark, AUDIT_SCHEMA)
     return spark.read.schema(AUDIT_SCHEMA).parquet(path)
 
 

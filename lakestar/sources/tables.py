@@ -84,12 +84,18 @@ def latest_path(spark: SparkSession, root: str) -> str | None:
     return root if in_place else None
 
 
+def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows; the optimizer knows, and drops the joins a first load would make with it."""
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(1).select(*nothing).filter(F.lit(False))
+
+
 def read_table(
     spark: SparkSession, root: str, schema: StructType, columns: Sequence[str] | None = None
 ) -> DataFrame:
     """A table, or the listed columns of it. Before its first load a table is empty, not missing."""
     path = latest_path(spark, root)
-    df = spark.createDataFrame([], schema) if path is None else spark.read.schema(schema).parquet(path)
+    df = empty_table(spark, schema) if path is None else spark.read.schema(schema).parquet(path)
     return df.select(*(columns or schema.names))
 
 
@@ -109,6 +115,8 @@ def blank_partitions_to_null(df: DataFrame, partition_by: Sequence[str]) -> Data
 
 
 def _writer(df: DataFrame, partition_by: Sequence[str]):
+    if not partition_by:
+        return df.write
     return df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
 
 

@@ -6,7 +6,6 @@ gives the same rows.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,14 +43,18 @@ from ..specs import (
     SILVER,
     TIMESTAMP_FORMAT,
 )
-from .feeds import DAY, feed, table
-from .stages import dimension, silver_table
+from .feeds import DAY, table
+from .stages import (
+    CALENDAR,
+    bronze_table,
+    dimension,
+    sales_of_day,
+    sales_table,
+    silver_table,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-CALENDAR = (dt.date(1996, 1, 1), dt.date(2002, 12, 31))
-
-
 def portable(df: DataFrame) -> DataFrame:
     """32-bit floats as doubles, which every engine prints and hashes alike."""
     return df.select(
@@ -123,7 +126,7 @@ def dedupe_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def valid_invalid_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [
-        feed_counts(feed(spark, sf_dir, app, 2), spec.feed).withColumn("app", F.lit(app))
+        feed_counts(bronze_table(spark, sf_dir, app, 2), spec.feed).withColumn("app", F.lit(app))
         for app, spec in SILVER.items()
     ]
     result = counts[0]
@@ -133,7 +136,7 @@ def valid_invalid_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def invalid_rows_except(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = feed(spark, sf_dir, "Order_Items", 2)
+    rows = bronze_table(spark, sf_dir, "Order_Items", 2)
     return invalid_rows(rows, valid_rows(rows, SILVER["Order_Items"].feed))
 
 
@@ -232,7 +235,7 @@ def rollup_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver(app: str) -> Query:
     return lambda spark, sf_dir: portable(
-        silver_transform(feed(spark, sf_dir, app, 2), SILVER[app])
+        silver_transform(bronze_table(spark, sf_dir, app, 2), SILVER[app])
     )
 
 
@@ -310,22 +313,8 @@ def dim_current_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2.current(dimension(spark, sf_dir, "Orders", 2))
 
 
-def _sales(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
-    def dim(app: str) -> DataFrame:
-        return scd2.current(dimension(spark, sf_dir, app, day))
-
-    return facts.fact_sales(
-        date_dim(spark, *CALENDAR),
-        dim("Customers"),
-        dim("Orders"),
-        dim("Products"),
-        dim("Order_Items"),
-        DAY[day],
-    )
-
-
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sales(spark, sf_dir, 2)
+    return sales_of_day(spark, sf_dir, 2)
 
 
 def fact_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -341,8 +330,8 @@ def fact_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_sales_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(
-        _sales(spark, sf_dir, 1),
-        _sales(spark, sf_dir, 2),
+        sales_table(spark, sf_dir, 1),
+        sales_table(spark, sf_dir, 2),
         FACT_SALES.keys,
         FACT_SALES.order_col,
         scope="partition",
@@ -360,7 +349,7 @@ def load_audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver_spec, dim_spec = SILVER["Orders"], DIMENSIONS["Orders"]
     for day, as_of in DAY.items():
         audit = LoadAudit(spark, f"{root}/audit", day, "daily", "verification")
-        bronze = feed(spark, sf_dir, "Orders", day)
+        bronze = bronze_table(spark, sf_dir, "Orders", day)
         load_silver(spark, bronze, f"{root}/silver", silver_spec, audit)
         source = read_table(spark, f"{root}/silver", silver_spec.schema, dim_spec.source_columns)
         load_dimension(spark, source, f"{root}/dim", dim_spec, as_of, audit)

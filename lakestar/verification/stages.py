@@ -1,4 +1,4 @@
-"""Stored inputs of the registered queries: Silver tables and dimensions of the two days.
+"""Stored inputs of the registered queries: Bronze and Silver tables and dimensions of two days.
 
 In production these are tables that earlier loads left behind; here they are derived from the
 driver tables on first use, written to the scratch folder, and read from there afterwards.
@@ -6,18 +6,23 @@ driver tables on first use, written to the scratch folder, and read from there a
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ..operators.quality import dedupe_by_key
-from ..operators.scd2 import scd2_apply, scd2_changes
+from ..operators.scd2 import current, scd2_apply, scd2_changes
+from ..operators.star import date_dim
+from ..plans.facts import fact_sales
 from ..plans.silver import silver_transform
-from ..sources.tables import scratch_path
-from ..specs import DIMENSIONS, LAST_UPDATE, SILVER
+from ..sources.tables import empty_table, scratch_path
+from ..specs import DIMENSIONS, FACT_SALES, FEEDS, LAST_UPDATE, LOAD_DATE, SILVER
 from .feeds import DAY, feed
 
+CALENDAR = (dt.date(1996, 1, 1), dt.date(2002, 12, 31))
+
 _written: dict[tuple[str, str], str] = {}
 
 
@@ -37,12 +42,24 @@ def _stored(
     return spark.read.schema(schema).parquet(_written[key]).select(*schema.names)
 
 
+def bronze_table(spark: SparkSession, sf_dir: str, app: str, day: int) -> DataFrame:
+    """A delivered feed, as a load into Bronze stores it."""
+    columns = ", ".join(f"{c} string" for c in FEEDS[app].columns)
+    schema = StructType.fromDDL(f"{columns}, {LOAD_DATE} date")
+
+    def build() -> DataFrame:
+        # The driver tables are single files; spread the rows as a feed of many files would be.
+        return feed(spark, sf_dir, app, day).repartition(spark.sparkContext.defaultParallelism)
+
+    return _stored(spark, sf_dir, f"{FEEDS[app].name}_{day}", schema, build)
+
+
 def silver_table(spark: SparkSession, sf_dir: str, app: str, day: int) -> DataFrame:
     """A Silver table after one delivery: one row per record key."""
     spec = SILVER[app]
 
     def build() -> DataFrame:
-        rows = silver_transform(feed(spark, sf_dir, app, day), spec)
+        rows = silver_transform(bronze_table(spark, sf_dir, app, day), spec)
         return dedupe_by_key(rows, spec.keys, order_col=LAST_UPDATE)
 
     return _stored(spark, sf_dir, f"{spec.name}_{day}", spec.schema, build)
@@ -54,7 +71,7 @@ def dimension(spark: SparkSession, sf_dir: str, app: str, day: int) -> DataFrame
 
     def build() -> DataFrame:
         if day == 1:
-            before = spark.createDataFrame([], spec.schema)
+            before = empty_table(spark, spec.schema)
         else:
             before = dimension(spark, sf_dir, app, 1)
         source = silver_table(spark, sf_dir, app, day)
@@ -63,3 +80,30 @@ def dimension(spark: SparkSession, sf_dir: str, app: str, day: int) -> DataFrame
 
     name = f"{spec.name}_{day}"
     return _stored(spark, sf_dir, name, spec.schema, build, spec.table.partition_by)
+
+
+def sales_of_day(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
+    """The sales fact over the dimensions of a day."""
+
+    def dim(app: str) -> DataFrame:
+        return current(dimension(spark, sf_dir, app, day))
+
+    return fact_sales(
+        date_dim(spark, *CALENDAR),
+        dim("Customers"),
+        dim("Orders"),
+        dim("Products"),
+        dim("Order_Items"),
+        DAY[day],
+    )
+
+
+def sales_table(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
+    return _stored(
+        spark,
+        sf_dir,
+        f"fact_sales_{day}",
+        FACT_SALES.schema,
+        lambda: sales_of_day(spark, sf_dir, day),
+        FACT_SALES.partition_by,
+    )
