@@ -12,7 +12,7 @@ from collections.abc import Iterator
 from contextlib import ExitStack, contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import VALID, quality_totals
@@ -80,6 +80,23 @@ def ingest_feed(
     return LoadResult(table, 0, outcome.row_count)
 
 
+def ingest_from_spec(
+    spark: SparkSession, spec: Row, as_of: dt.date, audit: LoadAudit, scheme: str = "gs://"
+) -> LoadResult:
+    """Bronze load of one row of ``enabled_specs``."""
+    return ingest_feed(
+        spark,
+        f"{scheme}{spec.inbound_bucket}/{spec.raw_file_path}{spec.raw_file_name}",
+        spec.bronze_file_path,
+        spec.app_name,
+        spec.bronze_table_name,
+        as_of,
+        audit,
+        spec.raw_file_format,
+        spec.delimiter,
+    )
+
+
 def load_silver(
     spark: SparkSession,
     bronze: DataFrame,

@@ -133,6 +133,16 @@ def write_snapshot(spark: SparkSession, df: DataFrame, root: str, partition_by:
     return path
 
 
+def expire_snapshots(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Drops all but the newest ``keep`` complete snapshots; call it when no reader needs them."""
+    if keep < 1:
+        raise ValueError("at least the newest snapshot has to stay")
+    old = [f"{root}/{SNAPSHOT}{n:08d}" for n in _complete_snapshots(spark, root)[:-keep]]
+    for path in old:
+        discard(spark, path)
+    return old
+
+
 def overwrite_partitions(df: DataFrame, root: str, partition_by: Sequence[str]) -> None:
     """Replaces the partitions ``df`` has rows for; it may read the same partitions.
 

@@ -15,15 +15,18 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = (
-        configure(SparkSession.builder.master("local[4]").appName("lakestar-tests"))
+    builder = (
+        configure(SparkSession.builder.master("local[8]").appName("lakestar-tests"))
         .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("scratch")))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "4g")
-        .getOrCreate()
+        .config("spark.driver.memory", "8g")
     )
+    session = builder.getOrCreate()
+    if session.conf.get("spark.checkpoint.dir", None) is None:
+        session.stop()
+        scratch = str(tmp_path_factory.mktemp("scratch"))
+        session = builder.config("spark.checkpoint.dir", scratch).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -7,6 +7,7 @@ from conftest import final_plan, rows
 from pyspark.sql import functions as F
 
 from lakestar.plans.bronze import add_audit
+from lakestar.plans.loads import ingest_from_spec
 from lakestar.sources import tables
 from lakestar.sources.audit import LoadAudit, read_audit, reconcile
 from lakestar.sources.feeds import INGEST_SPEC_COLUMNS, INGEST_SPEC_SCHEMA, enabled_specs, read_feed
@@ -102,6 +103,29 @@ def test_snapshots(spark, tmp_path):
     assert rows(tables.read_table(spark, root, SPEC.schema)) == [("c", "p", 3)]
 
 
+def test_expiring_snapshots(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for i in range(4):
+        tables.write_snapshot(spark, frame(spark, [("a", "p", i)]), root, ["part"])
+    assert len(tables.expire_snapshots(spark, root, keep=3)) == 1
+    assert len(tables.expire_snapshots(spark, root, keep=1)) == 2
+    assert rows(tables.read_table(spark, root, SPEC.schema)) == [("a", "p", 3)]
+    with pytest.raises(ValueError):
+        tables.expire_snapshots(spark, root, keep=0)
+
+
+def test_ingest_from_a_spec(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "sellers.csv").write_text("seller_id;seller_state\ns1;rio\ns2;\n")
+    row = ("Shop", "Sellers", 1, str(tmp_path), "in/", "sellers.csv", "csv", ";", str(tmp_path / "bronze"), "b_sellers", True, "new")
+    spec = enabled_specs(spark.createDataFrame([row], INGEST_SPEC_SCHEMA), "Shop").first()
+    audit = LoadAudit(spark, str(tmp_path / "audit"), 1, "bronze", "Shop")
+    for _ in range(2):  # a full reload: the second run replaces the first
+        assert ingest_from_spec(spark, spec, AS_OF, audit, scheme="file://").post_count == 2
+    stored = spark.read.parquet(str(tmp_path / "bronze"))
+    assert rows(stored.select("seller_id", "seller_state")) == [("s1", "rio"), ("s2", None)]
+
+
 def test_merging_touches_only_the_partitions_of_the_batch(spark, tmp_path):
     root = str(tmp_path / "t")
     tables.merge_partitions(spark, root, SPEC, frame(spark, [("a", "p", 1), ("b", "p", 1), ("c", "q", 1), ("d", None, 1)]))
