@@ -1,6 +1,7 @@
 from .columns import (
     SKEY_SUFFIX,
     changed,
+    changed_sql,
     clean_id,
     clean_label,
     clean_lower,
@@ -11,6 +12,7 @@ from .columns import (
     parse_timestamp,
     skey_name,
     surrogate_key,
+    text_literal,
     to_float,
     to_int,
     to_money,
@@ -19,6 +21,7 @@ from .columns import (
 __all__ = [
     "SKEY_SUFFIX",
     "changed",
+    "changed_sql",
     "clean_id",
     "clean_label",
     "clean_lower",
@@ -29,6 +32,7 @@ __all__ = [
     "parse_timestamp",
     "skey_name",
     "surrogate_key",
+    "text_literal",
     "to_float",
     "to_int",
     "to_money",

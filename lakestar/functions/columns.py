@@ -76,12 +76,22 @@ def skey_name(id_column: str) -> str:
     return id_column.removesuffix("_id") + SKEY_SUFFIX
 
 
-def changed(old: Column, new: Column, dtype: DataType) -> Column:
-    """Whether an attribute differs, never null.
+def changed_sql(old: str, new: str, dtype: DataType) -> str:
+    """SQL test whether an attribute differs, never null.
 
     For strings a null and an empty string are the same value; every other type compares
     null-safely in its own type.
     """
     if isinstance(dtype, StringType):
-        return F.coalesce(old, F.lit("")) != F.coalesce(new, F.lit(""))
-    return ~old.eqNullSafe(new)
+        return f"coalesce({old}, '') <> coalesce({new}, '')"
+    return f"NOT ({old} <=> {new})"
+
+
+def changed(old: str, new: str, dtype: DataType) -> Column:
+    return F.expr(changed_sql(old, new, dtype))
+
+
+def text_literal(value: str) -> str:
+    """A string as a SQL literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"

@@ -3,14 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
-from functools import reduce
-from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import changed, skey_name, surrogate_key
+from ..functions import SKEY_SUFFIX, changed_sql, skey_name, text_literal
 from ..specs import DimensionSpec
 from .upsert import upsert
 
@@ -28,71 +25,74 @@ def current(dim: DataFrame) -> DataFrame:
     return dim.filter(is_open())
 
 
-def _row(spec: DimensionSpec, values: dict[str, Column]) -> list[Column]:
-    return [values[f.name].cast(f.dataType).alias(f.name) for f in spec.schema]
+# The rows below are SQL text: a wide dimension is a handful of expressions for the driver to build
+# instead of several calls per column and row kind.
 
 
-def _opened(as_of: dt.date, actor: str) -> dict[str, Column]:
+def _row(spec: DimensionSpec, values: dict[str, str]) -> str:
+    fields = [
+        f"'{f.name}', CAST({values[f.name]} AS {f.dataType.simpleString()})" for f in spec.schema
+    ]
+    return f"named_struct({', '.join(fields)})"
+
+
+def _opened(as_of: dt.date, actor: str) -> dict[str, str]:
     return {
-        "eff_start_dt": F.lit(as_of),
-        "eff_end_dt": F.lit(OPEN_END),
-        "is_current": F.lit(1),
-        "insert_date": F.lit(as_of),
-        "inserted_by": F.lit(actor),
-        "update_date": F.lit(None),
-        "updated_by": F.lit(None),
+        "eff_start_dt": f"DATE'{as_of}'",
+        "eff_end_dt": f"DATE'{OPEN_END}'",
+        "is_current": "1",
+        "insert_date": f"DATE'{as_of}'",
+        "inserted_by": text_literal(actor),
+        "update_date": "NULL",
+        "updated_by": "NULL",
     }
 
 
-def _new_row(spec: DimensionSpec, as_of: dt.date, actor: str) -> list[Column]:
+def _new_row(spec: DimensionSpec, as_of: dt.date, actor: str) -> str:
     """A key the dimension has never held: surrogate keys are made here and never change."""
-    ids = {k: F.col(f"src.{k}") for k in spec.keys}
-    skeys = {skey_name(k): surrogate_key(F.col(f"src.{k}")) for k in spec.keys}
-    attrs = {a: F.col(f"src.{a}") for a in spec.attributes}
+    ids = {k: f"src.{k}" for k in spec.keys}
+    skeys = {skey_name(k): f"concat(src.{k}, '{SKEY_SUFFIX}')" for k in spec.keys}
+    attrs = {a: f"src.{a}" for a in spec.attributes}
     return _row(spec, ids | skeys | attrs | _opened(as_of, actor))
 
 
-def _active_row(spec: DimensionSpec, as_of: dt.date, actor: str) -> list[Column]:
+def _active_row(spec: DimensionSpec, as_of: dt.date, actor: str) -> str:
     """The version that starts now: identity of the stored row, attributes of the source."""
-    stored = {c: F.col(f"tgt.{c}") for k in spec.keys for c in (k, skey_name(k))}
-    attrs = {a: F.col(f"src.{a}") for a in spec.attributes}
+    stored = {c: f"tgt.{c}" for c in spec.identity}
+    attrs = {a: f"src.{a}" for a in spec.attributes}
     return _row(spec, stored | attrs | _opened(as_of, actor))
 
 
-def _closed_row(spec: DimensionSpec, as_of: dt.date, actor: str) -> list[Column]:
+def _closed_row(spec: DimensionSpec, as_of: dt.date, actor: str) -> str:
     """The stored version, ended on the day before."""
-    stored = {f.name: F.col(f"tgt.{f.name}") for f in spec.schema}
+    stored = {name: f"tgt.{name}" for name in spec.schema.names}
     closing = {
-        "eff_end_dt": F.lit(as_of - dt.timedelta(days=1)),
-        "is_current": F.lit(0),
-        "update_date": F.lit(as_of),
-        "updated_by": F.lit(actor),
+        "eff_end_dt": f"DATE'{as_of - dt.timedelta(days=1)}'",
+        "is_current": "0",
+        "update_date": f"DATE'{as_of}'",
+        "updated_by": text_literal(actor),
     }
     return _row(spec, stored | closing)
 
 
 def _same_business_key(spec: DimensionSpec) -> Column:
-    return reduce(and_, [F.col(f"src.{k}") == F.col(f"tgt.{k}") for k in spec.keys])
+    return F.expr(" AND ".join(f"src.{k} = tgt.{k}" for k in spec.keys))
 
 
-def _is_newer_and_different(spec: DimensionSpec) -> Column:
+def _is_newer_and_different(spec: DimensionSpec) -> str:
     """A change counts only when it is dated after the stored version began."""
-    differs = [
-        changed(F.col(f"tgt.{a}"), F.col(f"src.{a}"), spec.schema[a].dataType)
-        for a in spec.attributes
-    ]
-    return (F.col("src.last_update_date") > F.col("tgt.eff_start_dt")) & reduce(or_, differs)
+    schema = spec.schema
+    differs = [changed_sql(f"tgt.{a}", f"src.{a}", schema[a].dataType) for a in spec.attributes]
+    return f"src.last_update_date > tgt.eff_start_dt AND ({' OR '.join(differs)})"
 
 
 def _hits(src: DataFrame, tgt: DataFrame, spec: DimensionSpec) -> DataFrame:
-    return (
-        src.alias("src")
-        .join(current(tgt).alias("tgt"), _same_business_key(spec), "inner")
-        .filter(_is_newer_and_different(spec))
-    )
+    joined = src.alias("src").join(current(tgt).alias("tgt"), _same_business_key(spec), "inner")
+    return joined.filter(_is_newer_and_different(spec))
 
 
-RowMaker = Callable[[DimensionSpec, dt.date, str], list[Column]]
+def _as_columns(df: DataFrame, row: str) -> DataFrame:
+    return df.select(F.expr(row).alias("version")).select("version.*")
 
 
 def scd2_new(
@@ -101,19 +101,19 @@ def scd2_new(
     """Source keys without any version, open or closed."""
     known = tgt.select(*spec.keys).alias("tgt")
     unknown = src.alias("src").join(known, _same_business_key(spec), "left_anti")
-    return unknown.select(*_new_row(spec, as_of, actor))
+    return _as_columns(unknown, _new_row(spec, as_of, actor))
 
 
 def scd2_active(
     src: DataFrame, tgt: DataFrame, spec: DimensionSpec, as_of: dt.date, actor: str = DEFAULT_ACTOR
 ) -> DataFrame:
-    return _hits(src, tgt, spec).select(*_active_row(spec, as_of, actor))
+    return _as_columns(_hits(src, tgt, spec), _active_row(spec, as_of, actor))
 
 
 def scd2_inactive(
     src: DataFrame, tgt: DataFrame, spec: DimensionSpec, as_of: dt.date, actor: str = DEFAULT_ACTOR
 ) -> DataFrame:
-    return _hits(src, tgt, spec).select(*_closed_row(spec, as_of, actor))
+    return _as_columns(_hits(src, tgt, spec), _closed_row(spec, as_of, actor))
 
 
 def scd2_changes(
@@ -132,31 +132,21 @@ def scd2_changes(
 
     Both join inputs come straight from a shuffle, so adaptive execution can split a hot key.
     """
-    open_rows = current(tgt).select(*spec.schema.names).withColumn("is_open", F.lit(True))
-    known = open_rows
+    known = current(tgt).selectExpr(*spec.schema.names, "true AS is_open")
     if not every_key_open:
-        closed = tgt.filter(~F.coalesce(is_open(), F.lit(False))).select(
-            *[
-                F.col(f.name) if f.name in spec.keys else F.lit(None).cast(f.dataType).alias(f.name)
-                for f in spec.schema
-            ],
-            F.lit(False).alias("is_open"),
-        )
-        known = open_rows.unionByName(closed)
+        is_closed = ~F.coalesce(is_open(), F.lit(False))
+        bare_keys = [
+            f.name if f.name in spec.keys else f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}"
+            for f in spec.schema
+        ]
+        known = known.unionByName(tgt.filter(is_closed).selectExpr(*bare_keys, "false AS is_open"))
     joined = src.alias("src").join(known.alias("tgt"), _same_business_key(spec), "left_outer")
 
-    is_new = F.col("tgt.is_open").isNull()
-    is_hit = F.coalesce(F.col("tgt.is_open") & _is_newer_and_different(spec), F.lit(False))
-
-    def pack(make: RowMaker) -> Column:
-        return F.struct(*make(spec, as_of, actor))
-
-    return joined.filter(is_new | is_hit).select(
-        F.inline(
-            F.when(is_new, F.array(pack(_new_row))).otherwise(
-                F.array(pack(_active_row), pack(_closed_row))
-            )
-        )
+    new, active, closed = (make(spec, as_of, actor) for make in (_new_row, _active_row, _closed_row))
+    is_new = "tgt.is_open IS NULL"
+    is_hit = f"coalesce(tgt.is_open AND {_is_newer_and_different(spec)}, false)"
+    return joined.filter(f"{is_new} OR {is_hit}").selectExpr(
+        f"inline(CASE WHEN {is_new} THEN array({new}) ELSE array({active}, {closed}) END)"
     )
 
 

@@ -13,6 +13,8 @@ RECOMMENDED: dict[str, str] = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Timestamps with row-group statistics, so that filters on them can skip data.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # Call-site capture costs a round trip to the JVM for every column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
 }
 

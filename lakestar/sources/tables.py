@@ -86,8 +86,8 @@ def latest_path(spark: SparkSession, root: str) -> str | None:
 
 def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
     """No rows; the optimizer knows, and drops the joins a first load would make with it."""
-    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
-    return spark.range(1).select(*nothing).filter(F.lit(False))
+    nothing = [f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema]
+    return spark.range(1).selectExpr(*nothing).filter("false")
 
 
 def read_table(

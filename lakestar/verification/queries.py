@@ -213,7 +213,7 @@ def null_safe_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair.select(
         "c_custkey",
         *[
-            changed(F.col(f"old.{c}"), F.col(f"new.{c}"), types[c]).alias(f"{c}_changed")
+            changed(f"old.{c}", f"new.{c}", types[c]).alias(f"{c}_changed")
             for c in ("segment", "balance", "nation")
         ],
     )

@@ -98,10 +98,15 @@ def test_change_is_null_safe_in_every_type(spark):
         df = spark.createDataFrame(
             [(i, a, b) for i, (a, b, _) in enumerate(pairs)], f"i int, a {name}, b {name}"
         )
-        got = df.orderBy("i").select(L.changed(F.col("a"), F.col("b"), dtype)).collect()
+        got = df.orderBy("i").select(L.changed("a", "b", dtype)).collect()
         assert [r[0] for r in got] == [c for _, _, c in pairs], name
 
 
+def test_text_literal(spark):
+    for value in ("plain", "it's", "back\\slash", "\\'", ""):
+        assert spark.range(1).select(F.expr(L.text_literal(value))).first()[0] == value
+
+
 def test_money_totals_do_not_depend_on_order(spark):
     df = spark.createDataFrame([("0.005",), ("0.005",), ("1e2",), ("x",), (None,)], "t string")
     assert df.select(L.money(F.sum(L.to_money(F.col("t"))))).collect()[0][0] == 100.01
