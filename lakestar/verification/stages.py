@@ -17,7 +17,7 @@ from ..operators.scd2 import current, scd2_apply, scd2_changes
 from ..operators.star import date_dim
 from ..plans.facts import fact_sales
 from ..plans.silver import silver_transform
-from ..sources.tables import empty_table, scratch_path
+from ..sources.tables import empty_table, exists, scratch_path
 from ..specs import DIMENSIONS, FACT_SALES, FEEDS, LAST_UPDATE, LOAD_DATE, SILVER
 from .feeds import DAY, feed
 
@@ -35,7 +35,7 @@ def _stored(
     partition_by: tuple[str, ...] = (),
 ) -> DataFrame:
     key = (sf_dir, name)
-    if key not in _written:
+    if key not in _written or not exists(spark, _written[key]):
         path = scratch_path(spark, name)
         build().write.partitionBy(*partition_by).parquet(path)
         _written[key] = path

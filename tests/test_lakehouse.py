@@ -137,3 +137,14 @@ def test_partition_scoped_silver_load(spark, two_days, tmp_path):
     assert silver.groupBy(*keys, "order_status").count().filter("count > 1").count() == 0
     # An order that moved on is stored under both of its states.
     assert silver.count() > silver.select(*keys).distinct().count()
+
+
+def test_an_empty_delivery(spark, tmp_path):
+    (tmp_path / "sellers.csv").write_text("seller_id,seller_state,seller_state_code\n")
+    lake = Lakehouse(spark, str(tmp_path / "lake"), DAY[1], job_id=1)
+    assert lake.ingest("Sellers", str(tmp_path / "sellers.csv")).post_count == 0
+    result = lake.load_silver("Sellers")
+    assert (result.total, result.valid, result.invalid_distinct, result.post_count) == (0, 0, 0, 0)
+    assert lake.load_dimension("Sellers").post_count == 0
+    assert lake.silver("Sellers").count() == lake.dimension("Sellers").count() == 0
+    assert all(r.succeeded for r in lake.log().collect())
