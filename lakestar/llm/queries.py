@@ -2,27 +2,74 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.tables import scratch_path
 from .common import documents
+from .decontaminate import find_contamination
+from .packing import pack
 from .secrets import scan_secrets
 from .sharding import SHARDS, SLOTS, assign_shards, fill_table
+from .token_files import read_token_files, write_token_files
+
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return find_contamination(documents(spark, sf_dir), benchmark).drop("items")
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(documents(spark, sf_dir))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), BYTE_BPE)
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(documents(spark, sf_dir))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    write_token_files(documents(spark, sf_dir), path, WORD_BPE)
+    return read_token_files(spark, path)
+
+
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op4_secrets": op4_secrets,
+    "op6_packing": op6_packing,
     "op7_sharding": op7_sharding,
+    "op8_token_files": op8_token_files,
 }
 
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
 ORACLES = {
+    "op1_decontaminate": rf"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+        p AS (SELECT DISTINCT item, least(len(w), 10) AS m,
+                     array_to_string(w[s : s + least(len(w), 10) - 1], ' ') AS k
+              FROM (SELECT item, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s FROM i WHERE len(w) > 0)),
+        x AS (SELECT doc_id, s, m, array_to_string(w[s : s + m - 1], ' ') AS k
+              FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS s
+                    FROM d, (SELECT DISTINCT m FROM p) WHERE len(w) >= m)),
+        h AS (SELECT doc_id, s, x.m, item FROM x JOIN p USING (k) WHERE x.m = p.m),
+        n AS (SELECT doc_id, count(DISTINCT pos) AS n_hit
+              FROM (SELECT doc_id, unnest(range(s, s + m)) AS pos FROM h) GROUP BY doc_id),
+        t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+              FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN n USING (doc_id) LEFT JOIN t USING (doc_id)""",
     "op7_sharding": f"""
         SELECT doc_id, slot, list_extract({fill_table(SHARDS, SLOTS)}::INTEGER[], (slot + 1)::INTEGER) AS shard
         FROM (SELECT doc_id, ('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15))::BIGINT % {SLOTS} AS slot
