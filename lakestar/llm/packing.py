@@ -58,15 +58,15 @@ class ComplementIndex:
             if self.left[a] and self.left[total - a]:
                 yield a, total - a
 
-    def fill(self, length: int, gap: int) -> Iterator[tuple[int, ...]]:
-        """Combinations with ``length`` whose others sum to ``gap``: singles, pairs, triples."""
+    def fill(self, length: int, gap: int, most: int) -> Iterator[tuple[int, ...]]:
+        """Combinations with ``length`` whose others, at most so many, sum to ``gap``."""
         if self.left[gap]:
             yield (length, gap)
-        for a, b in self.pairs(gap):
+        for a, b in self.pairs(gap) if most > 1 else ():
             yield (length, a, b)
             if not self.left[length]:
                 return
-        for a in range(min(length, gap - 2), 0, -1):
+        for a in range(min(length, gap - 2), 0, -1) if most > 2 else ():
             if self.left[a]:
                 for b, c in self.pairs(gap - a):
                     if b <= a:
@@ -78,14 +78,23 @@ class ComplementIndex:
 
 
 def plan_packing(counts: dict[int, int], capacity: int = CAPACITY) -> list[Recipe]:
-    """How many sequences of which lengths; uses every counted piece once."""
+    """How many sequences of which lengths; uses every counted piece once.
+
+    Exact triples use up short pieces that best fit may need where pieces are few, so the plan is made
+    with up to three, two and one complements, which costs the driver a moment, and the best one kept.
+    """
+    plans = [_plan(counts, capacity, most) for most in (3, 2, 1)]
+    return min(plans, key=lambda plan: sum(times for _, times in plan))
+
+
+def _plan(counts: dict[int, int], capacity: int, most: int) -> list[Recipe]:
     recipes: list[Recipe] = []
     index = ComplementIndex({k: v for k, v in counts.items() if k < capacity}, capacity)
     if counts.get(capacity):
         recipes.append(((capacity,), counts[capacity]))
     for length in range(capacity - 1, 0, -1):
         if index.left[length]:
-            for lengths in index.fill(length, capacity - length):
+            for lengths in index.fill(length, capacity - length, most):
                 times = index.times(lengths)
                 if times:
                     index.take(lengths, times)

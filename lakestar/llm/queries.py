@@ -6,12 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import scratch_path
-from .common import documents
+from .common import documents, labels
 from .decontaminate import find_contamination
 from .packing import pack
+from .quality import score_quality, train_quality
 from .secrets import scan_secrets
 from .sharding import SHARDS, SLOTS, assign_shards, fill_table
 from .token_files import read_token_files, write_token_files
+from .toxicity import score_toxicity, train_toxicity
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -22,6 +24,16 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_contamination(documents(spark, sf_dir), benchmark).drop("items")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return score_toxicity(docs, train_toxicity(docs, labels(spark, sf_dir)))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return score_quality(docs, train_quality(docs, labels(spark, sf_dir)))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(documents(spark, sf_dir))
 
@@ -42,6 +54,8 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_toxicity": op2_toxicity,
+    "op3_quality": op3_quality,
     "op4_secrets": op4_secrets,
     "op6_packing": op6_packing,
     "op7_sharding": op7_sharding,
