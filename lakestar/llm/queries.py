@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources.tables import scratch_path
 from .common import documents, labels
 from .decontaminate import find_contamination
+from .licenses import scan_licenses
 from .packing import pack
 from .quality import score_quality, train_quality
 from .secrets import scan_secrets
@@ -38,6 +39,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(documents(spark, sf_dir))
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(documents(spark, sf_dir))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), BYTE_BPE)
 
@@ -57,6 +62,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_quality": op3_quality,
     "op4_secrets": op4_secrets,
+    "op5_licenses": op5_licenses,
     "op6_packing": op6_packing,
     "op7_sharding": op7_sharding,
     "op8_token_files": op8_token_files,

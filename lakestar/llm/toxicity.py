@@ -81,7 +81,7 @@ def _telling_features(sample: DataFrame, n_pos: int, n_unl: int, limit: int) ->
     share = (F.col("p") + F.col("u")) / F.lit(n_pos + n_unl)
     spread = F.sqrt(share * (1 - share) * F.lit(1 / n_pos + 1 / n_unl) + 1e-9)
     z = (F.col("p") / n_pos - F.col("u") / n_unl) / spread
-    best = counts.filter("p > 1").select("feature", z.alias("z")).filter("z > 3")
+    best = counts.filter("p > 1").select("feature", z.alias("z")).filter("z > 4")
     return [row.feature for row in best.orderBy(F.desc("z"), "feature").limit(limit).collect()]
 
 
