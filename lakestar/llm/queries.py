@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources.tables import scratch_path
 from .common import documents, labels
 from .decontaminate import find_contamination
+from .jaccard_join import jaccard_join
 from .licenses import scan_licenses
 from .packing import pack
 from .quality import score_quality, train_quality
@@ -57,6 +58,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_toxicity": op2_toxicity,
@@ -66,6 +71,7 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op7_sharding": op7_sharding,
     "op8_token_files": op8_token_files,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
