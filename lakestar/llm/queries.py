@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources.tables import scratch_path
 from .common import documents, labels
 from .decontaminate import find_contamination
+from .fingerprints import fingerprint
 from .jaccard_join import jaccard_join
 from .licenses import scan_licenses
 from .packing import pack
@@ -58,6 +59,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint(documents(spark, sf_dir))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(documents(spark, sf_dir))
 
@@ -71,6 +76,7 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op7_sharding": op7_sharding,
     "op8_token_files": op8_token_files,
+    "op9_fingerprints": op9_fingerprints,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
