@@ -56,14 +56,21 @@ def crc(ids):
 
 @pytest.mark.parametrize("path", [BYTE, WORD])
 def test_pieces_give_the_ids_of_the_whole_text(path):
-    assert [list(x) for x in Encoder(path).encode(TEXTS)] == [plain(path, t) for t in TEXTS]
+    for folds in (False, path == WORD):
+        encoder = Encoder(path, folds)
+        for _ in range(2):
+            assert [list(x) for x in encoder.encode(TEXTS)] == [plain(path, t) for t in TEXTS]
+            encoder.older, encoder.known = encoder.known, {}
+        assert (encoder.quick is not None) == (path == BYTE)
+        encoder.quick = None
+        assert [list(x) for x in encoder.encode(TEXTS)] == [plain(path, t) for t in TEXTS]
 
 
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet=" \n\t\r \x1c'sAéΣ!1", max_size=20))
 def test_any_white_space(text):
     for path in (BYTE, WORD):
-        encoder = _encoders.setdefault(path, (Encoder(path), Tokenizer.from_file(path)))
+        encoder = _encoders.setdefault(path, (Encoder(path, path == WORD), Tokenizer.from_file(path)))
         assert list(encoder[0].encode([text], None)[0]) == encoder[1].encode(text, add_special_tokens=False).ids
 
 
@@ -94,7 +101,7 @@ def test_outliers_are_patched():
 
 def test_token_files(spark, tmp_path):
     ids = [5, 3, 9, 1, 7, 0, 2, 3]
-    write_token_files(docs(spark, TEXTS, ids), str(tmp_path / "t"), WORD)
+    write_token_files(docs(spark, TEXTS, ids), str(tmp_path / "t"), WORD, True)
     got = read_token_files(spark, str(tmp_path / "t")).orderBy("start").collect()
     start, expected = 0, []
     for i, t in sorted(zip(ids, TEXTS, strict=True), key=lambda p: (p[0], p[1] is not None, p[1])):
