@@ -79,16 +79,18 @@ def _same_business_key(spec: DimensionSpec) -> Column:
     return F.expr(" AND ".join(f"src.{k} = tgt.{k}" for k in spec.keys))
 
 
-def _is_newer_and_different(spec: DimensionSpec) -> str:
-    """A change counts only when it is dated after the stored version began."""
+def _is_newer_and_different(spec: DimensionSpec, as_of: dt.date) -> str:
+    """A change counts only when it is dated after the stored version began, and only in a run dated
+    after that: a back-dated run would close a version before it began."""
     schema = spec.schema
     differs = [changed_sql(f"tgt.{a}", f"src.{a}", schema[a].dataType) for a in spec.attributes]
-    return f"src.last_update_date > tgt.eff_start_dt AND ({' OR '.join(differs)})"
+    dated = f"src.last_update_date > tgt.eff_start_dt AND tgt.eff_start_dt < DATE'{as_of}'"
+    return f"{dated} AND ({' OR '.join(differs)})"
 
 
-def _hits(src: DataFrame, tgt: DataFrame, spec: DimensionSpec) -> DataFrame:
+def _hits(src: DataFrame, tgt: DataFrame, spec: DimensionSpec, as_of: dt.date) -> DataFrame:
     joined = src.alias("src").join(current(tgt).alias("tgt"), _same_business_key(spec), "inner")
-    return joined.filter(_is_newer_and_different(spec))
+    return joined.filter(_is_newer_and_different(spec, as_of))
 
 
 def _as_columns(df: DataFrame, row: str) -> DataFrame:
@@ -107,13 +109,13 @@ def scd2_new(
 def scd2_active(
     src: DataFrame, tgt: DataFrame, spec: DimensionSpec, as_of: dt.date, actor: str = DEFAULT_ACTOR
 ) -> DataFrame:
-    return _as_columns(_hits(src, tgt, spec), _active_row(spec, as_of, actor))
+    return _as_columns(_hits(src, tgt, spec, as_of), _active_row(spec, as_of, actor))
 
 
 def scd2_inactive(
     src: DataFrame, tgt: DataFrame, spec: DimensionSpec, as_of: dt.date, actor: str = DEFAULT_ACTOR
 ) -> DataFrame:
-    return _as_columns(_hits(src, tgt, spec), _closed_row(spec, as_of, actor))
+    return _as_columns(_hits(src, tgt, spec, as_of), _closed_row(spec, as_of, actor))
 
 
 def scd2_changes(
@@ -144,7 +146,7 @@ def scd2_changes(
 
     new, active, closed = (make(spec, as_of, actor) for make in (_new_row, _active_row, _closed_row))
     is_new = "tgt.is_open IS NULL"
-    is_hit = f"coalesce(tgt.is_open AND {_is_newer_and_different(spec)}, false)"
+    is_hit = f"coalesce(tgt.is_open AND {_is_newer_and_different(spec, as_of)}, false)"
     return joined.filter(f"{is_new} OR {is_hit}").selectExpr(
         f"inline(CASE WHEN {is_new} THEN array({new}) ELSE array({active}, {closed}) END)"
     )

@@ -41,7 +41,16 @@ class Lakehouse:
         name = FEEDS[app].name
         target = self._path("bronze", name)
         return loads.ingest_feed(
-            self.spark, source, target, app, name, self.as_of, self.audit, fmt, delimiter
+            self.spark,
+            source,
+            target,
+            app,
+            name,
+            self.as_of,
+            self.audit,
+            fmt,
+            delimiter,
+            FEEDS[app].columns,
         )
 
     def bronze(self, app: str) -> DataFrame:

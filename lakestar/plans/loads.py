@@ -8,7 +8,7 @@ heavy plan to one evaluation.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import ExitStack, contextmanager
 from dataclasses import dataclass
 
@@ -23,18 +23,22 @@ from ..sources.feeds import read_feed
 from ..sources.tables import (
     blank_partitions_to_null,
     discard,
+    expire_snapshots,
     merge_partitions,
     overwrite_partitions,
     read_table,
+    require_layout,
     scratch_path,
     table_count,
     write_full_reload,
     write_snapshot,
 )
-from ..specs import LOAD_DATE, DimensionSpec, SilverSpec, TableSpec
+from ..specs import FEEDS, LOAD_DATE, DimensionSpec, SilverSpec, TableSpec
 from .bronze import add_audit
 from .silver import bronze_columns, standardize, valid_groups
 
+KEEP_SNAPSHOTS = 3
+
 
 @dataclass(frozen=True)
 class LoadResult:
@@ -49,9 +53,9 @@ class LoadResult:
 
 
 @contextmanager
-def staged(spark: SparkSession, df: DataFrame, name: str) -> Iterator[DataFrame]:
-    """``df`` as a written table for the time of the block."""
-    path = scratch_path(spark, name)
+def staged(spark: SparkSession, df: DataFrame, name: str, root: str) -> Iterator[DataFrame]:
+    """``df`` as a written table for the time of the block; ``root`` is the table it is meant for."""
+    path = scratch_path(spark, name, root)
     df.write.mode("overwrite").parquet(path)
     try:
         yield spark.read.schema(df.schema).parquet(path)
@@ -69,11 +73,20 @@ def ingest_feed(
     audit: LoadAudit,
     fmt: str = "csv",
     delimiter: str = ",",
+    required: Sequence[str] = (),
 ) -> LoadResult:
-    """Bronze: a full reload of one feed. Rows are counted by the write itself."""
+    """Bronze: a full reload of one feed. Rows are counted by the write itself.
+
+    A delivery without all ``required`` columns, as a wrong header or delimiter makes it, fails before
+    the stored feed is touched. Further columns are stored too.
+    """
     with audit.load(app, table, 0) as outcome:
         counted = Observation(f"ingest {table}")
-        feed = add_audit(read_feed(spark, source, fmt, delimiter), as_of)
+        delivered = read_feed(spark, source, fmt, delimiter)
+        missing = [c for c in required if c not in delivered.columns]
+        if missing:
+            raise ValueError(f"{source} has no columns {missing}, only {delivered.columns}")
+        feed = add_audit(delivered, as_of)
         feed = feed.observe(counted, F.count(F.lit(1)).alias("row_count"))
         write_full_reload(feed, target, [LOAD_DATE])
         outcome.row_count = counted.get["row_count"]
@@ -94,6 +107,7 @@ def ingest_from_spec(
         audit,
         spec.raw_file_format,
         spec.delimiter,
+        FEEDS[spec.app_name].columns if spec.app_name in FEEDS else (),
     )
 
 
@@ -105,6 +119,7 @@ def load_silver(
     audit: LoadAudit,
     scope: str = "table",
     keep_newer: bool = False,
+    keep_snapshots: int = KEEP_SNAPSHOTS,
 ) -> LoadResult:
     """Silver: valid rows of a Bronze table, upserted.
 
@@ -112,18 +127,21 @@ def load_silver(
     writes the staged rows, where a retried task is counted once.
 
     With ``scope="table"`` a key may move between partitions, so the load writes a new snapshot;
-    with ``scope="partition"`` it rewrites the touched partitions in place.
+    with ``scope="partition"`` it rewrites the touched partitions in place. A table keeps the scope of
+    its first load; another one fails before anything is written. After a complete snapshot all but the
+    newest ``keep_snapshots`` go, so that readers of the one before can finish.
     """
     pre = table_count(spark, root, spec.schema)
     with audit.load(spec.app, spec.name, pre) as outcome:
+        require_layout(spark, root, snapshots=scope == "table")
         counted = Observation(f"quality {spec.name}")
         groups = valid_groups(bronze, spec.feed).observe(counted, *quality_totals())
         rows = groups.filter(VALID).select(*bronze_columns(spec.feed))
         with ExitStack() as stages:
-            valid = stages.enter_context(staged(spark, rows, spec.name))
+            valid = stages.enter_context(staged(spark, rows, spec.name, root))
             batch = blank_partitions_to_null(standardize(valid, spec), spec.partition_by)
             if spec.app == "Order_Items":  # an aggregate; the others are projections
-                batch = stages.enter_context(staged(spark, batch, f"{spec.name}_rollup"))
+                batch = stages.enter_context(staged(spark, batch, f"{spec.name}_rollup", root))
             if scope == "partition":
                 merge_partitions(spark, root, spec, batch, keep_newer)
             else:
@@ -132,6 +150,7 @@ def load_silver(
                     table, batch, spec.keys, spec.order_col, scope, keep_newer=keep_newer
                 )
                 write_snapshot(spark, merged, root, spec.partition_by)
+                expire_snapshots(spark, root, keep_snapshots)
         outcome.row_count = table_count(spark, root, spec.schema)
     return LoadResult(spec.name, pre, outcome.row_count, **counted.get)
 
@@ -157,7 +176,7 @@ def load_dimension(
         changes = scd2_changes(
             source.select(*spec.source_columns), dim, spec, as_of, actor, every_key_open
         )
-        with staged(spark, changes, spec.name) as batch:
+        with staged(spark, changes, spec.name, root) as batch:
             if not batch.isEmpty():
                 closing_today = (F.col("is_current") == 0) & (
                     F.col("eff_end_dt") == F.lit(as_of - dt.timedelta(days=1))
@@ -179,7 +198,7 @@ def load_fact(
     """Gold fact: upserted month by month; the month follows from the date key in the record key."""
     pre = table_count(spark, root, spec.schema)
     with audit.load(spec.app, spec.name, pre) as outcome:
-        with staged(spark, facts.select(*spec.schema.names), spec.name) as batch:
+        with staged(spark, facts.select(*spec.schema.names), spec.name, root) as batch:
             if not batch.isEmpty():
                 merge_partitions(
                     spark, root, spec, blank_partitions_to_null(batch, spec.partition_by)

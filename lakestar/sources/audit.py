@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
+from pyspark.sql.types import BooleanType, TimestampType
 
 from ..specs import LONG, STRING, struct
 from .tables import empty_table, exists
@@ -22,6 +24,8 @@ AUDIT_SCHEMA = struct(
     event=STRING,
     flag=BooleanType(),
     row_count=LONG,
+    attempt=STRING,
+    logged_at=TimestampType(),
 )
 START, END = "start", "end"
 
@@ -43,28 +47,34 @@ class LoadAudit:
     job_name: str
     sys_name: str
 
-    def _append(self, app: str, table: str, event: str, flag: bool | None, rows: int) -> None:
-        values = (self.job_id, self.job_name, self.sys_name, app, table, event, flag, rows)
+    def _append(
+        self, app: str, table: str, event: str, flag: bool | None, rows: int | None, attempt: str | None
+    ) -> None:
+        now = dt.datetime.now(dt.timezone.utc)
+        values = (self.job_id, self.job_name, self.sys_name, app, table, event, flag, rows, attempt, now)
         row = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, AUDIT_SCHEMA)]
         self.spark.range(0, 1, 1, 1).select(*row).write.mode("append").parquet(self.path)
 
-    def start(self, app: str, table: str, row_count: int) -> None:
-        self._append(app, table, START, None, row_count)
+    def start(self, app: str, table: str, row_count: int, attempt: str | None = None) -> None:
+        self._append(app, table, START, None, row_count, attempt)
 
-    def end(self, app: str, table: str, flag: bool, row_count: int) -> None:
-        self._append(app, table, END, flag, row_count)
+    def end(
+        self, app: str, table: str, flag: bool, row_count: int | None, attempt: str | None = None
+    ) -> None:
+        self._append(app, table, END, flag, row_count, attempt)
 
     @contextmanager
     def load(self, app: str, table: str, pre_count: int) -> Iterator[LoadOutcome]:
         """Logs start and end around a load; a failed load logs flag False and still raises."""
-        self.start(app, table, pre_count)
+        attempt = uuid.uuid4().hex
+        self.start(app, table, pre_count, attempt)
         outcome = LoadOutcome()
         try:
             yield outcome
         except Exception:
-            self.end(app, table, False, 0)
+            self.end(app, table, False, None, attempt)
             raise
-        self.end(app, table, True, outcome.row_count)
+        self.end(app, table, True, outcome.row_count, attempt)
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
@@ -74,17 +84,19 @@ def read_audit(spark: SparkSession, path: str) -> DataFrame:
 
 
 def reconcile(audit: DataFrame) -> DataFrame:
-    """One row per job and table: counts before and after, rows gained, success.
+    """One row per attempt to load a table: counts before and after, rows gained, success.
 
-    Start and end rows meet in one aggregate; a load that never ended shows null counts after.
+    Start and end rows meet in one aggregate. A load that failed or never ended shows null counts
+    after, whatever other attempts of the job did.
     """
     is_start, is_end = F.col("event") == START, F.col("event") == END
     return (
-        audit.groupBy("job_id", "job_name", "sys_name", "app_nm", "table_name")
+        audit.groupBy("job_id", "job_name", "sys_name", "app_nm", "table_name", "attempt")
         .agg(
             F.max(F.when(is_start, F.col("row_count"))).alias("pre_count"),
             F.max(F.when(is_end, F.col("row_count"))).alias("post_count"),
             F.coalesce(F.bool_or(F.when(is_end, F.col("flag"))), F.lit(False)).alias("succeeded"),
         )
         .withColumn("rows_gained", F.col("post_count") - F.col("pre_count"))
+        .drop("attempt")
     )

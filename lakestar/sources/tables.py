@@ -17,9 +17,8 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -27,9 +26,7 @@ from ..operators.upsert import upsert
 from ..specs import TableSpec
 
 SNAPSHOT = "snapshot="
-
-# Up to this many touched partitions are named in a pruning filter; more are found by a join.
-MAX_NAMED_PARTITIONS = 1000
+STAGING = "_staging"  # hidden from readers
 
 
 def _fs(spark: SparkSession, path: str):
@@ -47,15 +44,22 @@ def discard(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder for intermediate data, in the shared folder the cluster names.
+def scratch_path(spark: SparkSession, name: str, near: str | None = None) -> str:
+    """A new folder for intermediate data that every executor sees.
 
-    Only a session without that setting (a local one) falls back to the machine's temporary folder.
+    It lies in the shared folder the cluster names, else in a hidden folder under ``near``, the stored
+    table the data is for. Only a session that runs in one process may fall back to the machine's
+    temporary folder; any other has to name one of the two.
     """
+    unique = f"{name}-{uuid.uuid4().hex}"
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        return f"{shared.rstrip('/')}/lakestar/{name}-{uuid.uuid4().hex}"
-    return f"{tempfile.mkdtemp(prefix='lakestar-')}/{name}"
+        return f"{shared.rstrip('/')}/lakestar/{unique}"
+    if near:
+        return f"{near.rstrip('/')}/{STAGING}/{unique}"
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{tempfile.mkdtemp(prefix='lakestar-')}/{unique}"
 
 
 def _folders(spark: SparkSession, root: str) -> list[str]:
@@ -84,6 +88,18 @@ def latest_path(spark: SparkSession, root: str) -> str | None:
     return root if in_place else None
 
 
+def require_layout(spark: SparkSession, root: str, snapshots: bool) -> None:
+    """Fails, before anything is written, if the table is stored in the other layout.
+
+    A folder of either layout counts, complete or not: two layouts under one root would hide rows of
+    one from readers, or make the table unreadable.
+    """
+    for name in _folders(spark, root):
+        if name.startswith(SNAPSHOT) != snapshots:
+            stored, asked = ("in place", "snapshots") if snapshots else ("snapshots", "in place")
+            raise ValueError(f"{root} is stored as {stored} and cannot be loaded as {asked}")
+
+
 def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
     """No rows; the optimizer knows, and drops the joins a first load would make with it."""
     nothing = [f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema]
@@ -127,9 +143,12 @@ def write_full_reload(df: DataFrame, root: str, partition_by: Sequence[str]) ->
 
 def write_snapshot(spark: SparkSession, df: DataFrame, root: str, partition_by: Sequence[str]) -> str:
     """Writes the next snapshot; readers switch to it when its success marker appears."""
+    require_layout(spark, root, snapshots=True)
     complete = _complete_snapshots(spark, root)
     path = f"{root}/{SNAPSHOT}{(complete[-1] + 1 if complete else 1):08d}"
     _writer(df, partition_by).mode("overwrite").parquet(path)
+    if not exists(spark, f"{path}/_SUCCESS"):
+        raise ValueError("success markers are switched off, so readers could not find the snapshot")
     return path
 
 
@@ -154,24 +173,39 @@ def overwrite_partitions(df: DataFrame, root: str, partition_by: Sequence[str])
     )
 
 
-def _equals(values, columns: Sequence[str]) -> Column:
-    return reduce(and_, [F.col(c).eqNullSafe(F.lit(values[c])) for c in columns])
+# What no value of a type is below.
+_LEAST = {
+    "string": "''",
+    "int": "int('-2147483648')",
+    "bigint": "bigint('-9223372036854775808')",
+    "date": "date'0001-01-01'",
+}
 
 
 def in_partitions_of(target: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Target rows in the partitions that ``batch`` touches.
+    """Target rows in the partitions that ``batch`` touches, however many these are.
 
-    The distinct partition values (one per folder about to be written) become a partition filter;
-    a batch that touches more folders than are worth naming is matched by a semi join instead.
+    A semi join on plain equality whose small side has a filter is what dynamic partition pruning
+    takes: the touched folders are found first and only they are listed. The filter keeps every value
+    that is not null. Folders of nulls are told apart by a flag per column, as constants, so that they
+    are pruned as partition filters; a batch without nulls reads none of them.
     """
+    kinds = dict(target.dtypes)
     touched = batch.select(*partition_by).distinct()
-    named = touched.take(MAX_NAMED_PARTITIONS + 1)
-    if not named:
-        return target.filter(F.lit(False))
-    if len(named) <= MAX_NAMED_PARTITIONS:
-        return target.filter(reduce(or_, [_equals(row, partition_by) for row in named]))
-    same = [F.col(f"t.{c}").eqNullSafe(F.col(f"p.{c}")) for c in partition_by]
-    return target.alias("t").join(touched.alias("p"), reduce(and_, same), "left_semi")
+    flags = [F.col(c).isNull().alias(f"_null_{c}") for c in partition_by]
+    shapes = [tuple(row) for row in touched.select(*flags).distinct().collect()]  # at most 2 ** columns
+    parts = []
+    for shape in sorted(shapes):
+        held, found = target, touched
+        filled = [c for c, null in zip(partition_by, shape, strict=True) if not null]
+        for c, null in zip(partition_by, shape, strict=True):
+            is_null = F.col(c).isNull()
+            held = held.filter(is_null if null else ~is_null)
+            found = found.filter(is_null if null else F.expr(f"`{c}` >= {_LEAST[kinds[c]]}"))
+        if filled:
+            held = held.join(found.select(*filled), filled, "left_semi")
+        parts.append(held.select(*target.columns))
+    return reduce(DataFrame.unionByName, parts) if parts else target.filter(F.lit(False))
 
 
 def merge_partitions(
@@ -181,6 +215,7 @@ def merge_partitions(
 
     ``batch`` is read more than once, so it should be a written table and not a long plan.
     """
+    require_layout(spark, root, snapshots=False)
     target = read_table(spark, root, spec.schema)
     merged = upsert(
         in_partitions_of(target, batch, spec.partition_by),

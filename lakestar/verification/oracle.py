@@ -10,7 +10,7 @@ D1, D2 = "date '2024-01-31'", "date '2024-02-01'"
 DAY = {1: D1, 2: D2}
 OPEN_END = "date '9999-12-31'"
 ACTOR = "lakestar_elt"
-CAL_START, CAL_END = "date '1996-01-01'", "date '2002-12-31'"
+CAL_START, CAL_END = "date '1995-01-01'", "date '2002-12-31'"
 
 SPEC = "%d-%m-%Y %I:%M:%S %p"
 

@@ -21,7 +21,7 @@ from ..sources.tables import empty_table, exists, scratch_path
 from ..specs import DIMENSIONS, FACT_SALES, FEEDS, LAST_UPDATE, LOAD_DATE, SILVER
 from .feeds import DAY, feed
 
-CALENDAR = (dt.date(1996, 1, 1), dt.date(2002, 12, 31))
+CALENDAR = (dt.date(1995, 1, 1), dt.date(2002, 12, 31))
 
 _written: dict[tuple[str, str], str] = {}
 

@@ -1,12 +1,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
+from types import SimpleNamespace
 
 import pytest
 from conftest import final_plan, rows
 from pyspark.sql import functions as F
 
 from lakestar.plans.bronze import add_audit
+from lakestar.plans.lakehouse import Lakehouse
 from lakestar.plans.loads import ingest_from_spec
 from lakestar.sources import tables
 from lakestar.sources.audit import LoadAudit, read_audit, reconcile
@@ -116,7 +119,7 @@ def test_expiring_snapshots(spark, tmp_path):
 
 def test_ingest_from_a_spec(spark, tmp_path):
     (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "sellers.csv").write_text("seller_id;seller_state\ns1;rio\ns2;\n")
+    (tmp_path / "in" / "sellers.csv").write_text("seller_id;seller_state;seller_state_code\ns1;rio;RJ\ns2;;\n")
     row = ("Shop", "Sellers", 1, str(tmp_path), "in/", "sellers.csv", "csv", ";", str(tmp_path / "bronze"), "b_sellers", True, "new")
     spec = enabled_specs(spark.createDataFrame([row], INGEST_SPEC_SCHEMA), "Shop").first()
     audit = LoadAudit(spark, str(tmp_path / "audit"), 1, "bronze", "Shop")
@@ -138,22 +141,36 @@ def test_merging_touches_only_the_partitions_of_the_batch(spark, tmp_path):
     assert before == {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "part=q").iterdir()}
 
 
-def test_pruning_by_named_partitions_and_by_join(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("null", [True, False])
+def test_only_touched_partitions_are_read(spark, tmp_path, null):
     root = str(tmp_path / "t")
     data = [(str(i), f"p{i % 7}" if i % 7 else None, i) for i in range(70)]
     tables.merge_partitions(spark, root, SPEC, frame(spark, data))
     target = tables.read_table(spark, root, SPEC.schema)
-    batch = frame(spark, [("x", "p1", 1), ("y", None, 1), ("z", "new", 1)])
-    named = tables.in_partitions_of(target, batch, ["part"])
-    plan = final_plan(named)
-    assert "Join" not in plan and "PartitionFilters: [(" in plan.replace("isnull", "(")
-    monkeypatch.setattr(tables, "MAX_NAMED_PARTITIONS", 1)
-    joined = tables.in_partitions_of(target, batch, ["part"])
-    assert "Join" in final_plan(joined)
-    assert rows(named) == rows(joined) and named.count() == 20
+    batch = frame(spark, [("x", "p1", 1), ("z", "new", 1)] + [("y", None, 1)] * null)
+    found = tables.in_partitions_of(target, batch, ["part"])
+    plan = final_plan(found)
+    assert "dynamicpruning" in plan.lower()
+    assert ("PartitionFilters: [isnull(part" in plan) == null
+    assert found.count() == 10 + 10 * null
+    assert {r.part for r in found.collect()} == {"p1", None} if null else {"p1"}
     assert tables.in_partitions_of(target, batch.filter("false"), ["part"]).count() == 0
 
 
+def test_one_layout_per_table(spark, tmp_path):
+    snapshots, in_place = str(tmp_path / "s"), str(tmp_path / "i")
+    tables.write_snapshot(spark, frame(spark, [("a", "p", 1)]), snapshots, ["part"])
+    tables.merge_partitions(spark, in_place, SPEC, frame(spark, [("a", "p", 1)]))
+    (tmp_path / "f" / "snapshot=00000001").mkdir(parents=True)  # left by a load that failed
+    for root in (snapshots, str(tmp_path / "f")):
+        with pytest.raises(ValueError, match="stored as snapshots"):
+            tables.merge_partitions(spark, root, SPEC, frame(spark, [("b", "p", 2)]))
+    with pytest.raises(ValueError, match="stored as in place"):
+        tables.write_snapshot(spark, frame(spark, [("b", "p", 2)]), in_place, ["part"])
+    for root in (snapshots, in_place):
+        assert rows(tables.read_table(spark, root, SPEC.schema)) == [("a", "p", 1)]
+
+
 def test_blank_partition_values(spark, tmp_path):
     root = str(tmp_path / "t")
     batch = tables.blank_partitions_to_null(frame(spark, [("a", "", 1)]), ["part"])
@@ -185,6 +202,17 @@ def test_scratch_lies_in_the_shared_folder(spark):
     assert one.startswith(shared) and one != two
 
 
+def test_scratch_without_a_shared_folder():
+    def session(master):
+        return SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master=master))
+
+    assert tables.scratch_path(session("yarn"), "x", "gs://lake/t").startswith("gs://lake/t/_staging/x-")
+    assert tables.scratch_path(session("local[4]"), "x").startswith(tempfile.gettempdir())
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="share"):
+            tables.scratch_path(session(master), "x")
+
+
 def test_load_audit(spark, tmp_path):
     path = str(tmp_path / "audit")
     assert read_audit(spark, path).count() == 0
@@ -197,6 +225,50 @@ def test_load_audit(spark, tmp_path):
     got = {r.table_name: (r.pre_count, r.post_count, r.succeeded, r.rows_gained) for r in reconcile(read_audit(spark, path)).collect()}
     assert got == {
         "silver_orders": (10, 12, True, 2),
-        "silver_sellers": (3, 0, False, -3),
+        "silver_sellers": (3, None, False, None),
         "silver_items": (5, None, False, None),
     }
+
+
+def test_a_failed_retry_is_an_attempt_of_its_own(spark, tmp_path):
+    audit = LoadAudit(spark, str(tmp_path / "audit"), 7, "daily", "shop")
+    with audit.load("Orders", "silver_orders", 0) as outcome:
+        outcome.row_count = 100
+    with pytest.raises(RuntimeError), audit.load("Orders", "silver_orders", 100):
+        raise RuntimeError("no space")
+    got = reconcile(read_audit(spark, audit.path)).collect()
+    assert sorted((r.pre_count, r.post_count, r.succeeded) for r in got) == [(0, 100, True), (100, None, False)]
+
+
+@pytest.mark.parametrize(
+    ("text", "delimiter", "ok"),
+    [
+        ("seller_id,seller_state,seller_state_code\ns1,rio,RJ\n", ",", True),
+        ("more,seller_id,seller_state,seller_state_code\nx,s1,rio,RJ\n", ",", True),
+        ("seller_id,state,seller_state_code\ns1,rio,RJ\n", ",", False),
+        ("seller_id,seller_state\ns1,rio\n", ",", False),
+        ("seller_id|seller_state|seller_state_code\ns1|rio|RJ\n", ",", False),
+    ],
+)
+def test_a_delivery_needs_its_columns(spark, tmp_path, text, delimiter, ok):
+    (tmp_path / "sellers.csv").write_text(text)
+    lake = Lakehouse(spark, str(tmp_path / "lake"), AS_OF, 1)
+    if ok:
+        assert lake.ingest("Sellers", str(tmp_path / "sellers.csv"), delimiter=delimiter).post_count == 1
+    else:
+        with pytest.raises(ValueError, match="has no columns"):
+            lake.ingest("Sellers", str(tmp_path / "sellers.csv"), delimiter=delimiter)
+    assert [r.succeeded for r in lake.log().collect()] == [ok]
+
+
+def test_silver_keeps_its_scope_and_few_snapshots(spark, tmp_path):
+    (tmp_path / "sellers.csv").write_text("seller_id,seller_state,seller_state_code\ns1,rio,RJ\n")
+    lake = Lakehouse(spark, str(tmp_path / "lake"), AS_OF, 1)
+    lake.ingest("Sellers", str(tmp_path / "sellers.csv"))
+    for _ in range(4):
+        lake.load_silver("Sellers", "table")
+    with pytest.raises(ValueError, match="stored as snapshots"):
+        lake.load_silver("Sellers", "partition")
+    assert lake.silver("Sellers").count() == 1
+    folder = next(tmp_path.glob("lake/silver/*"))
+    assert len(list(folder.glob("snapshot=*"))) == 3
