@@ -3,17 +3,20 @@
 Documents with equal shingle sets are one class, and one document stands for it. Then:
 
 1. Pivots. Classes that share a minimum of one of ``ORDERS`` hash orders meet in a region, whose pivot is its
-   least member. Each class is compared with its pivots only: those within the threshold form stars
-   around them. A group of thousands of near copies thus costs a few comparisons for each member.
+   least member. Each class belongs to the pivot it shares most regions with and is compared with that
+   one only: those within the threshold form stars around their pivots.
 2. Boundaries. For two sets within distance 1 - t, a quarter of each set and one more, taken in one
    global order, always share a member. A class is therefore replicated into the regions of its
    leading quarter, but only into those that hold classes of different components so far: inside a
    component nothing is left to find. Shingles that are frequent in a sample come last in the order,
    so that common passages make no regions; the order changes the cost, never the result.
 3. Windows. In such a region two classes are compared only if the triangle inequality lets them be near:
-   the empty set as a pivot gives a window on sizes, and 256 pivots, one for the sets of each hash bucket,
-   give the differences of bucket counts, whose sum bounds the symmetric difference from below.
-   Large regions are joined in blocks, so that no task holds one whole.
+   the empty set as a pivot gives a window on sizes, and 64 pivots, one for the members of each hash
+   bucket, give the differences of bucket counts, whose sum bounds the symmetric difference from below.
+   Large regions are joined in blocks, so that no task holds one whole. A region is joined twice: first
+   each class with a new pivot, the class that has most others in its window; then, when these links have
+   joined components, whatever pairs of different components are left. A group of thousands of near
+   copies thus costs a few comparisons for each member, and still no link is missed.
 4. What passes is compared exactly, and the links of both steps are joined to components.
 
 Sets are never stored: a step reads the documents it needs again. Classes and shingles are told apart
@@ -35,7 +38,7 @@ from .shingles import mixed, set_hash, shingle_set
 
 SIMILARITY = 75  # per cent
 ORDERS = 8
-BUCKETS = 256
+BUCKETS = 64
 BLOCK = 500  # classes of a region in one block of its join
 STAR = 2_000  # classes that are compared with one copy of their pivot
 SAMPLE = 4_000  # documents whose frequent shingles come last in the order
@@ -78,18 +81,40 @@ def _near_in_size(a: str, b: str):
 
 
 def _pivot_pairs(classes: DataFrame) -> DataFrame:
-    """(a, b): each class with the pivots of its regions."""
+    """(a, b): each class with the pivot that most of its regions share, its nearest by that estimate."""
     keyed = classes.select("class", "n", F.explode("keys").alias("key"))
     least = F.min(F.struct("class", "n"))
     pivots = keyed.groupBy("key").agg(least.alias("pivot"), F.count("*").alias("members")).filter("members > 1")
     pairs = keyed.join(pivots.select("key", "pivot.class", "pivot.n").toDF("key", "b", "m"), "key")
     pairs = pairs.filter((F.col("class") != F.col("b")) & _near_in_size("n", "m"))
-    return pairs.select(F.col("class").alias("a"), "b").distinct()
+    pairs = pairs.groupBy(F.col("class").alias("a"), "b").agg(F.count("*").alias("shared"))
+    return pairs.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
+
+
+def _fine_counts(s: np.ndarray) -> np.ndarray:
+    """Bucket counts in as many buckets, a power of two, as make about eight members in each."""
+    buckets = 1 << max(6, (len(s) // 8).bit_length())
+    counts = np.bincount(((s >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64), minlength=buckets)
+    return counts.astype("<u2")
+
+
+def _may_be_near(a: np.ndarray, b: np.ndarray, n: int) -> bool:
+    """The window on bucket counts of two sets of ``n`` members together; the finer one is folded."""
+    a, b = a.astype(np.int64), b.astype(np.int64)
+    size = min(len(a), len(b))
+    apart = int(np.abs(a.reshape(-1, size).sum(axis=0) - b.reshape(-1, size).sum(axis=0)).sum())
+    return (100 + SIMILARITY) * apart <= (100 - SIMILARITY) * n
 
 
 def _compare(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of a stored table that are near enough. One document of each class is read,
-    goes to the pairs' right sides it is wanted at, and is compared there."""
+    """The pairs (a, b) of a stored table that are near enough. Finer bucket counts, of a few hundredths
+    of a set's size, rule out most of the others before whole sets are sent."""
+    return _meet(docs, classes, staged(_meet(docs, classes, pairs, False), "window-pairs"), True)
+
+
+def _meet(docs: DataFrame, classes: DataFrame, pairs: DataFrame, exact: bool) -> DataFrame:
+    """One document of each class is read, its set (or bucket counts) goes to the pairs' right sides it
+    is wanted at, and is compared there."""
     rep = classes.select("class", "rep")
     counts = pairs.groupBy("b").agg(F.ceil(F.count("*") / F.lit(STAR)).cast("int").alias("parts"))
     sided = pairs.join(counts, "b")
@@ -108,7 +133,7 @@ def _compare(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
                 [
                     batch.column(0),
                     pa.array([set_hash(s) if len(s) else None for s in got], pa.int64()),
-                    pa.array([s.tobytes() for s in got], pa.binary()),
+                    pa.array([(s if exact else _fine_counts(s)).tobytes() for s in got], pa.binary()),
                 ],
                 ["doc_id", "class", "shingles"],
             )
@@ -121,13 +146,18 @@ def _compare(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
     met = sent.repartition("b", "part").sortWithinPartitions("b", "part", "member")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, pivot = None, np.zeros(0, np.uint64)
+        kind = np.uint64 if exact else np.dtype("<u2")
+        at, pivot = None, np.zeros(0, kind)
         for batch in batches:
             links: tuple[list, list] = ([], [])
             for b, member, name, raw in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4)), strict=True):
-                own = np.frombuffer(raw, np.uint64)
+                own = np.frombuffer(raw, kind)
                 if not member:
                     at, pivot = b, own
+                elif at == b and not exact:
+                    if _may_be_near(own, pivot, int(own.sum(dtype=np.int64) + pivot.sum(dtype=np.int64))):
+                        links[0].append(name)
+                        links[1].append(b)
                 elif at == b:
                     place = np.minimum(np.searchsorted(pivot, own), len(pivot) - 1)
                     common = int(np.count_nonzero(pivot[place] == own))
@@ -151,8 +181,10 @@ def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 yield pa.RecordBatch.from_arrays([pa.array(_signed(shingle_set(text)))], ["s"])
 
     counts = sample.mapInArrow(run, "s bigint").groupBy("s").agg(F.count("*").alias("n")).filter("n > 2")
-    rows = sorted(tuple(r) for r in counts.orderBy(F.desc("n"), "s").limit(FREQUENT).collect())
-    return np.array([s for s, _ in rows], np.int64).view(np.uint64), np.array([n for _, n in rows], np.int64)
+    rows = counts.orderBy(F.desc("n"), "s").limit(FREQUENT).collect()
+    found, n = np.array([r.s for r in rows], np.int64).view(np.uint64), np.array([r.n for r in rows], np.int64)
+    order = np.argsort(found)
+    return found[order], n[order]
 
 
 def _leading(s: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -162,10 +194,8 @@ def _leading(s: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.ndar
     # ceil(n * t) of the members are in both sets; the first of them is at most so far into the order.
     part = n - -(-n * SIMILARITY // 100) + 1
     if len(frequent):
-        order = np.argsort(frequent)
-        place = np.minimum(np.searchsorted(frequent, s, sorter=order), len(frequent) - 1)
-        hit = frequent[order[place]] == s
-        weight = np.where(hit, counts[order[place]], 0)
+        place = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
+        weight = np.where(frequent[place] == s, counts[place], 0)
         return s[np.lexsort((mixed(s), weight))[:part]]
     return s[np.argsort(mixed(s))[:part]]
 
@@ -185,7 +215,9 @@ def _regions(docs: DataFrame, frequent, with_sets: bool) -> DataFrame:
                 if name is not None and name not in seen:
                     seen.add(name)
                     buckets = np.bincount((s >> np.uint64(20)) % np.uint64(BUCKETS), minlength=BUCKETS)
-                    rows.append((name, len(s), _signed(_leading(s, common, counts)), buckets.astype("<u4").tobytes()))
+                    # Cut off at 255, differences only shrink, so they still are a lower bound.
+                    buckets = np.minimum(buckets, 255).astype(np.uint8).tobytes()
+                    rows.append((name, len(s), _signed(_leading(s, common, counts)), buckets))
             columns = list(zip(*rows, strict=True)) or [[]] * 4
             kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
             arrays = [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)]
@@ -197,23 +229,28 @@ def _regions(docs: DataFrame, frequent, with_sets: bool) -> DataFrame:
     return docs.select("text").mapInArrow(run, schema)
 
 
-def _boundary_pairs(docs: DataFrame, roots: DataFrame) -> DataFrame:
-    """(a, b): classes of different components that share a region and pass the windows."""
-    frequent = _frequent(docs)
+def _placed(df: DataFrame, roots: DataFrame) -> DataFrame:
+    """``df`` with the component of its classes so far."""
     roots = small(roots.select(F.col("node").alias("class"), "root"))
+    return df.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
 
-    def placed(regions: DataFrame) -> DataFrame:
-        return regions.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
 
-    first = placed(_regions(docs, frequent, False)).select("root", F.explode("leading").alias("s"))
-    mixed_regions = first.groupBy("s").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
-    mixed_regions = staged(mixed_regions.select("s"), "mixed-regions")
-    again = placed(_regions(docs, frequent, True))
-    inside = again.select("class", "n", "root", "buckets", F.explode("leading").alias("s"))
-    inside = inside.join(small(mixed_regions), "s").dropDuplicates(["s", "class"])
-    inside = staged(inside, "inside")
+def _boundary_regions(docs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Stored rows (s, class, n, buckets, blocks) of the regions that hold several components."""
+    frequent = _frequent(docs)
+    first = _placed(_regions(docs, frequent, False), roots).select("root", F.explode("leading").alias("s"))
+    several = first.groupBy("s").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
+    several = staged(several.select("s"), "several")
+    again = _regions(docs, frequent, True).select("class", "n", "buckets", F.explode("leading").alias("s"))
+    inside = staged(again.join(small(several), "s"), "inside")
     sizes = inside.groupBy("s").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    own = inside.join(sizes, "s").withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    return inside.join(small(staged(sizes, "sizes")), "s")
+
+
+def _window_join(regions: DataFrame, roots: DataFrame, cover: bool) -> DataFrame:
+    """(a, b): classes of different components that share a region and pass the windows; with ``cover``
+    only enough of them to join each class to a hub among its near ones."""
+    own = _placed(regions, roots).withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     others = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda k: F.struct(F.least(k, F.col("own")).alias("i"), F.greatest(k, F.col("own")).alias("j")),
@@ -235,13 +272,13 @@ def _boundary_pairs(docs: DataFrame, roots: DataFrame) -> DataFrame:
                     continue
                 here = tuple(keys[:, a].tolist())
                 if key is not None and here != key:
-                    out += _window_pairs(key, pa.concat_tables(held))
+                    out += _window_pairs(key, pa.concat_tables(held), cover)
                     held = []
                 key = here
                 held.append(table.slice(a, b - a))
-            yield _pairs(out)
+            yield _pairs(list(dict.fromkeys(out)))
         if held:
-            yield _pairs(_window_pairs(key, pa.concat_tables(held)))
+            yield _pairs(_window_pairs(key, pa.concat_tables(held), cover))
 
     return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
 
@@ -250,22 +287,33 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
-def _window_pairs(key: tuple[int, int, int], table: pa.Table) -> list[tuple[int, int]]:
+def _window_pairs(key: tuple[int, int, int], table: pa.Table, cover: bool) -> list[tuple[int, int]]:
     """Pairs of a block, or across two blocks, that may be near enough."""
-    names, n, root, own = (table.column(c).to_numpy() for c in ("class", "n", "root", "own"))
-    counts = np.frombuffer(b"".join(table.column("buckets").to_pylist()), "<u4").reshape(len(n), -1).astype(np.int64)
+    names, first = np.unique(table.column("class").to_numpy(), return_index=True)
+    n, root, own = (table.column(c).to_numpy()[first] for c in ("n", "root", "own"))
+    if len(names) < 2 or (root == root[0]).all():
+        return []
+    counts = np.frombuffer(b"".join(table.column("buckets").to_pylist()), np.uint8).reshape(table.num_rows, -1)
+    counts = counts[first].astype(np.int64)
     across = key[1] != key[2]
-    found = []
+    near = []  # for each class the places of its possible partners
     for x in range(len(n)):
         ok = root != root[x]
         ok &= (n * 100 >= n[x] * SIMILARITY) & (n[x] * 100 >= n * SIMILARITY)
-        ok &= (own != own[x]) & (own[x] == key[1]) if across else names > names[x]
+        if across:
+            ok &= own != own[x]
         y = np.flatnonzero(ok)
-        if len(y):
-            apart = np.abs(counts[y] - counts[x]).sum(axis=1)
-            # |A ^ B| / |A u B| <= 1 - t, where 2 |A u B| = |A| + |B| + |A ^ B|
-            near = (200 - (100 - SIMILARITY)) * apart <= (100 - SIMILARITY) * (n[y] + n[x])
-            found += [(int(names[k]), int(names[x])) for k in y[near]]
+        apart = np.abs(counts[y] - counts[x]).sum(axis=1)
+        # |A ^ B| / |A u B| <= 1 - t, where 2 |A u B| = |A| + |B| + |A ^ B|
+        near.append(y[(100 + SIMILARITY) * apart <= (100 - SIMILARITY) * (n[y] + n[x])])
+    if not cover:
+        return [(int(names[x]), int(names[y])) for x in range(len(n)) for y in near[x] if x < y]
+    found, free = [], np.ones(len(n), bool)
+    for hub in sorted(range(len(n)), key=lambda x: -len(near[x])):
+        if free[hub] and len(near[hub]):
+            near_hub = near[hub][free[near[hub]]]
+            found += [(int(names[x]), int(names[hub])) for x in near_hub]
+            free[near_hub] = free[hub] = False
     return found
 
 
@@ -275,12 +323,12 @@ def jaccard_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     known = rows.filter("class IS NOT NULL").groupBy("class")
     classes = known.agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"))
     classes = staged(classes, "classes")
-    pairs = staged(_pivot_pairs(classes), "pivot-pairs")
-    stars = staged(_compare(docs, classes, pairs), "stars")
-    roots = components(stars)
-    pairs = staged(_boundary_pairs(docs, roots), "boundary-pairs")
-    links = staged(_compare(docs, classes, pairs), "links")
-    return rows, stars.union(links)
+    links = staged(_compare(docs, classes, staged(_pivot_pairs(classes), "pivot-pairs")), "links")
+    regions = _boundary_regions(docs, components(links))
+    for cover in (True, False):
+        pairs = staged(_window_join(regions, components(links), cover), "boundary-pairs")
+        links = links.union(staged(_compare(docs, classes, pairs), "links"))
+    return rows, links
 
 
 def jaccard_join(docs: DataFrame) -> DataFrame:
