@@ -55,7 +55,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
-    write_token_files(documents(spark, sf_dir), path, WORD_BPE)
+    write_token_files(documents(spark, sf_dir), path, WORD_BPE, folds=True)
     return read_token_files(spark, path)
 
 

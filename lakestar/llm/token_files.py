@@ -25,13 +25,13 @@ SEGMENT_SCHEMA = "part int, before bigint, n_ids bigint, image binary"
 _NO_ID = -(1 << 63)
 
 
-def write_token_files(docs: DataFrame, path: str, tokenizer: str) -> None:
+def write_token_files(docs: DataFrame, path: str, tokenizer: str, folds: bool = False) -> None:
     """Encodes ``text`` of every row (null: empty), appends the end id, stores the ids in ascending
-    (doc_id, text) order. A null doc_id comes first and is stored as the least long."""
+    (doc_id, text) order. A null doc_id comes first and is stored as the least long. ``folds``: see ``tokens.Encoder``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, folds).encode
         names: list[int] = []
         held: list[np.ndarray] = []
 
