@@ -193,3 +193,14 @@ def test_a_hot_source_key_is_split(spark, conf, tmp_path):
     assert "skew=true" in final_plan(changes)
     known = src.filter(F.substring("seller_id", 2, 9).cast("int") < 2000).count()
     assert changes.count() == 2 * known + (60000 - known)
+
+
+@pytest.mark.parametrize("as_of", [D0, D1, D2])
+def test_a_run_on_or_before_the_stored_start_changes_nothing(spark, as_of):
+    dim = materialise(spark, first_load(spark, SELLERS, [("A", "Sao", "SP", D2)], D2))
+    src = source(spark, SELLERS, [("A", "Rio", "RJ", dt.date(2024, 1, 20))])
+    assert rows(load(spark, dim, src, SELLERS, as_of)) == rows(dim)
+    assert scd2.scd2_active(src, dim, SELLERS, as_of).count() == 0
+    assert scd2.scd2_inactive(src, dim, SELLERS, as_of).count() == 0
+    later = load(spark, dim, src, SELLERS, dt.date(2024, 1, 21)).collect()
+    assert all(r.eff_start_dt <= r.eff_end_dt for r in later) and len(later) == 2
