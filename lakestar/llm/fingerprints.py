@@ -75,10 +75,17 @@ def peel(cells: str, size: int) -> str:
 def differing(a: str, b: str, sizes=SIZES, share: int = 1) -> str:
     """SQL for the number of digests that differ, recovered slice by slice; null if a slice got stuck at
     every size."""
-    slices = f"shiftleft(1L, greatest(0, cast(ceil(log2((size({a}) + size({b}) + 1) / {share * PER_SLICE}.0D)) AS int)))"
-    part = "filter({}, v -> (shiftright(v, {}) & (n - 1)) = g)"
-    parts = f"""transform(array({slices}), n -> transform(sequence(0L, n - 1), g -> named_struct(
-        'a', {part.format(a, SLICE_SHIFT)}, 'b', {part.format(b, SLICE_SHIFT)})))[0]"""
+    bits = f"greatest(0, cast(ceil(log2((size({a}) + size({b}) + 1) / {share * PER_SLICE}.0D)) AS int))"
+    # Cut twice, each time by about the root of the number of slices.
+    masks = "'m', shiftleft(1L, cast(k DIV 2 AS int)) - 1L, 'r', shiftleft(1L, cast(k - k DIV 2 AS int)) - 1L"
+
+    def cut(left: str, right: str, shift: int, mask: str, slice_: str) -> str:
+        part = f"filter({{}}, v -> (shiftright(v, {shift}) & {mask}) = {slice_})"
+        return f"named_struct('a', {part.format(left)}, 'b', {part.format(right)})"
+
+    parts = f"""transform(array({bits}), k -> transform(array(named_struct({masks})), p -> flatten(transform(
+        transform(sequence(0L, p.m), h -> {cut(a, b, SLICE_SHIFT, 'p.m', 'h')}),
+        w -> transform(sequence(0L, p.r), g -> {cut('w.a', 'w.b', SLICE_SHIFT + 10, 'p.r', 'g')}))))[0])[0]"""
     tried = [peel(_subtract(sketch("t.a", size), sketch("t.b", size)), size) for size in sizes]
     return f"aggregate({parts}, 0, (total, t) -> total + coalesce({', '.join(tried)}))"
 
