@@ -2,10 +2,11 @@
 
 Words around a licence cue form a candidate block. The block is compressed alone and once with each
 template as a raw zstandard dictionary: the more of the template's wording it holds, the more bytes
-the dictionary saves. Templates are ranked by that reduction, those that lose more than noise are out,
-and the rest are compared with the block word by word: a template is confirmed if its wording stands in
-the block with few enough differences, and of several the one with the fewest, then the higher ranked,
-wins. The words it matched are taken out and the next one is looked for. Documents are scanned whole, where they are read; no row moves.
+the dictionary saves. The reduction only ranks the templates: in a long block a short notice saves less
+than the dictionary's noise. Those whose words are not all but few in the block are out, and the rest are
+compared with it word by word: a template is confirmed if its wording stands in the block with few
+enough differences, and of several the one with the fewest, then the higher ranked, wins. The words it
+matched are taken out and the next one is looked for. Documents are scanned whole, where they are read; no row moves.
 """
 
 from __future__ import annotations
@@ -24,7 +25,6 @@ from .license_templates import TEMPLATES
 
 BEFORE, AFTER = 60, 140  # words around a cue
 LONGEST = 600  # words in a block; the next one then overlaps it by BEFORE + AFTER
-NOISE = 16  # bytes: a dictionary without use shifts the compressor's choices by about so much
 ALLOWED = 0.1  # differing words, as a share of the template's words
 KEPT_BLOCKS = 5_000
 
@@ -134,13 +134,13 @@ class Scanner:
 
     def _scan(self, words: list[str]) -> list[Found]:
         found: list[Found] = []
-        ranked = [(saved, i) for saved, i in self.reductions(words) if saved > -NOISE]
+        ranked = self.reductions(words)
         while True:
             best, have = None, Counter(words)
             for saved, i in ranked:
                 template = self.templates[i]
                 most = ALLOWED * len(template.words)
-                if (template.count - have).total() > most:  # so many of its words are missing
+                if sum(n - have[w] for w, n in template.count.items() if n > have[w]) > most:  # words missing
                     continue
                 differ, start, end = align(template.words, words)
                 if differ <= most:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import string
 
 import pytest
 
@@ -47,6 +48,17 @@ def test_several_licences_and_long_text():
     assert names("license " * 2000 + "Released under the MIT License") == ["MIT"]
 
 
+@pytest.mark.parametrize("cue", ["permission", "warranty", "copyright", "licence"])
+def test_every_template_is_found_in_cue_dense_blocks(cue):
+    rng = random.Random(cue)
+    other = ["".join(rng.choices(string.ascii_lowercase, k=rng.randint(4, 9))) for _ in range(300)]
+    for name, text in TEMPLATES:
+        for at in (0, 200, 430):
+            words = [cue if i % 60 == 0 else rng.choice(other) for i in range(600)]
+            words[at:at] = [f"{text}."]
+            assert name in names(" ".join(words)), (name, at)
+
+
 def test_align_against_plain_dynamic_programming():
     rng = random.Random(3)
     for _ in range(200):
