@@ -28,8 +28,10 @@ LONGEST = 600  # words in a block; the next one then overlaps it by BEFORE + AFT
 ALLOWED = 0.1  # differing words, as a share of the template's words
 KEPT_BLOCKS = 5_000
 
+# Words of a cue may be apart by whatever the word cutter leaves out: line ends, several or other spaces.
 _CUE = re.compile(
-    r"licen[sc]|copyright|all rights reserved|permission|warrant|redistribut|public domain|unencumbered", re.I
+    r"licen[sc]|copyright|all[\W_]+rights[\W_]+reserved|permission|warrant|redistribut|public[\W_]+domain|unencumbered",
+    re.I,
 )
 _WORD = re.compile(r"[^\W_]+(?:\.[^\W_]+)*")
 

@@ -59,6 +59,16 @@ def test_every_template_is_found_in_cue_dense_blocks(cue):
             assert name in names(" ".join(words)), (name, at)
 
 
+@pytest.mark.parametrize("gap", ["\n", "  ", "\u00a0", "\r\n * ", "_"])
+def test_every_template_is_found_wrapped_at_every_gap(gap):
+    for name, text in TEMPLATES:
+        words = text.split(" ")
+        for i in range(1, len(words)):
+            wrapped = " ".join(words[:i]) + gap + " ".join(words[i:])
+            assert name in names(f"of the\n{wrapped}. and"), wrapped
+        assert name in names(gap.join(words)), gap
+
+
 def test_align_against_plain_dynamic_programming():
     rng = random.Random(3)
     for _ in range(200):
