@@ -6,6 +6,9 @@ rows. In each round a view labels unlabelled documents it is confident of, as ma
 as their share in the labels, and hands them to the other view. At the end each view is calibrated on
 labelled rows kept aside, and a logistic combination of both, fitted there too, scores all documents.
 
+Every language and source in the sample is a feature of its own, whatever their number: they are kept as
+their numbers, not as columns, and a fit with many features solves its steps by conjugate gradients.
+
 Features are computed where documents are read. The driver gets those of a bounded sample only: at most
 ``LABELLED`` labelled and ``UNLABELLED`` unlabelled documents, drawn by a hash of their id.
 """
@@ -30,6 +33,7 @@ CONFIDENT = 0.95
 PER_ROUND = 0.05  # of the unlabelled sample
 KEEP = 0.5
 BINS = 8
+DIRECT = 1_000  # features up to which a step is solved directly: changes the time, not the result
 
 TEXT_VIEW = (
     "same_as_before", "distinct_words", "upper", "symbols", "bars", "symbol_ends", "digits",
@@ -96,6 +100,49 @@ def _described(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, lang string, source string, numbers array<double>, label int")
 
 
+@dataclass
+class Named:
+    """Rows of columns followed by ``n`` features that are one where a row has that name, else zero."""
+
+    columns: np.ndarray
+    places: np.ndarray  # of each row's names among the features; ``n`` if it has none
+    n: int
+
+    @property
+    def shape(self) -> tuple[int, int]:
+        return len(self.columns), self.columns.shape[1] + self.n
+
+    def __len__(self) -> int:
+        return len(self.columns)
+
+    def __getitem__(self, rows) -> Named:
+        return Named(self.columns[rows], self.places[rows], self.n)
+
+    def __matmul__(self, w: np.ndarray) -> np.ndarray:
+        k = self.columns.shape[1]
+        return self.columns @ w[:k] + np.append(w[k:], 0.0)[self.places].sum(axis=1)
+
+    def back(self, v: np.ndarray) -> np.ndarray:
+        """The transpose times ``v``."""
+        sums = np.bincount(self.places.ravel(), np.repeat(v, self.places.shape[1]), self.n + 1)
+        return np.append(self.columns.T @ v, sums[: self.n])
+
+    def squares(self, v: np.ndarray) -> np.ndarray:
+        """The transpose of the squared features times ``v``."""
+        return Named(self.columns**2, self.places, self.n).back(v)
+
+    def dense(self) -> np.ndarray:
+        one = np.zeros((len(self), self.n + 1))
+        np.put_along_axis(one, self.places, 1.0, axis=1)
+        return np.hstack([self.columns, one[:, : self.n]])
+
+
+def _stacked(a, b):
+    if isinstance(a, Named):
+        return Named(np.vstack([a.columns, b.columns]), np.vstack([a.places, b.places]), a.n)
+    return np.vstack([a, b])
+
+
 @dataclass
 class Encoding:
     """Numbers by their bin, names by their value; what training never saw has no feature."""
@@ -109,26 +156,27 @@ class Encoding:
         low = np.quantile(numbers, points, axis=0).T
         high = np.quantile(numbers, [0.95, 0.98, 0.99], axis=0).T
         seen = sorted({(k, v) for row in names for k, v in enumerate(row) if v is not None})
-        return cls(np.hstack([low, high]), {key: i for i, key in enumerate(seen[:2000])})
+        return cls(np.hstack([low, high]), {key: i for i, key in enumerate(seen)})
 
-    def views(self, numbers: np.ndarray, names) -> tuple[np.ndarray, np.ndarray]:
+    def views(self, numbers: np.ndarray, names) -> tuple[np.ndarray, Named]:
         """Text view and metadata view, a row per document. A number counts the edges it is beyond."""
         beyond = (numbers[:, :, None] > self.edges[None]).astype(np.float64)
-        k = len(TEXT_VIEW)
-        one = np.zeros((len(numbers), len(self.names)))
-        for i, row in enumerate(names):
-            for key in enumerate(row):
-                if key in self.names:
-                    one[i, self.names[key]] = 1
-        return beyond[:, :k].reshape(len(numbers), -1), np.hstack([beyond[:, k:].reshape(len(numbers), -1), one])
+        k, n = len(TEXT_VIEW), len(self.names)
+        places = [[self.names.get(key, n) for key in enumerate(row)] for row in names]
+        meta = Named(beyond[:, k:].reshape(len(numbers), -1), np.array(places, np.int64).reshape(len(numbers), -1), n)
+        return beyond[:, :k].reshape(len(numbers), -1), meta
 
 
 def _sigmoid(f):
     return 1 / (1 + np.exp(-np.clip(f, -30, 30)))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, steps: int = 25) -> np.ndarray:
+def fit_logistic(x: np.ndarray | Named, y: np.ndarray, l2: float = 1.0, steps: int = 25) -> np.ndarray:
     """Newton steps on the penalised log loss; the last weight is the intercept."""
+    if isinstance(x, Named):
+        if x.shape[1] > DIRECT:
+            return _fit_many(x, y, l2, steps)
+        x = x.dense()
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
     ridge = np.full(len(w), l2)
@@ -144,7 +192,39 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, steps: int = 25)
     return w
 
 
-def _log_odds(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+def _fit_many(x: Named, y: np.ndarray, l2: float, steps: int) -> np.ndarray:
+    """As ``fit_logistic``, without a matrix of all features: each step by conjugate gradients, with the
+    diagonal as preconditioner."""
+    x = Named(np.hstack([x.columns, np.ones((len(x), 1))]), x.places, x.n)  # the intercept before the names
+    at = x.columns.shape[1] - 1
+    w = np.zeros(x.shape[1])
+    ridge = np.full(len(w), l2)
+    ridge[at] = 1e-6
+    for _ in range(steps):
+        p = _sigmoid(x @ w)
+        grad = x.back(p - y) + ridge * w
+        weight = p * (1 - p)
+        scale = x.squares(weight) + ridge + 1e-9
+        step, left = np.zeros(len(w)), grad.copy()
+        along = scaled = left / scale
+        size = left @ scaled
+        enough = 1e-20 * size
+        for _ in range(len(w)):
+            if size <= enough:
+                break
+            curve = x.back(weight * (x @ along)) + (ridge + 1e-9) * along
+            by = size / (along @ curve)
+            step, left = step + by * along, left - by * curve
+            scaled = left / scale
+            size, before = left @ scaled, size
+            along = scaled + size / before * along
+        w -= step
+        if np.abs(step).max() < 1e-6:
+            break
+    return np.append(np.delete(w, at), w[at])
+
+
+def _log_odds(x: np.ndarray | Named, w: np.ndarray) -> np.ndarray:
     return np.clip(x @ w[:-1] + w[-1], -30, 30)
 
 
@@ -190,7 +270,7 @@ def co_train(
             given.append((pupil, np.concatenate(picked), np.concatenate(label)))
         for pupil, rows, label in given:
             free[pupil][rows] = False
-            own[pupil] = (np.vstack([own[pupil][0], pool[pupil][rows]]), np.append(own[pupil][1], label))
+            own[pupil] = (_stacked(own[pupil][0], pool[pupil][rows]), np.append(own[pupil][1], label))
         if not any(len(rows) for _, rows, _ in given):
             break
         weights = [fit_logistic(*own[v]) for v in (0, 1)]

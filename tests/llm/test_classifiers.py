@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lakestar.llm.quality import co_train, score_quality, train_quality
+from lakestar.llm import quality as module
+from lakestar.llm.quality import Encoding, co_train, fit_logistic, score_quality, train_quality
 from lakestar.llm.queries import QUERIES
 from lakestar.llm.toxicity import fit_nnpu, score_toxicity, train_toxicity
 
@@ -47,6 +48,27 @@ def test_views_teach_each_other():
         assert ((v @ w[:-1] + w[-1] > 0) == (y == 1)).mean() > 0.97
 
 
+def test_every_name_is_a_feature_and_many_are_fitted_alike(monkeypatch):
+    rng = np.random.default_rng(2)
+    n = 9000
+    good = rng.random(n) < 0.5
+    # A third of all rows have a source that says which, late in the alphabet; 6,000 others have their own.
+    source = [("zz-good" if g else "zz-bad") if i % 3 == 0 else f"host-{i}" for i, g in enumerate(good)]
+    encoding = Encoding.of(rng.random((n, 14)), [("en", s) for s in source])
+    assert len(encoding.names) == len({*source}) + 1
+    view = encoding.views(rng.random((n, 14)), [("en", s) for s in source])[1]
+    w = fit_logistic(view, good.astype(float))
+    known, odds = np.arange(n) % 3 == 0, view @ w[:-1] + w[-1]
+    assert ((odds > 0) == good)[known].all()
+
+    source = [s if i % 30 == 1 else "zz" for i, s in enumerate(source)]
+    few = Encoding.of(rng.random((n, 14)), [("en", s) for s in source]).views(rng.random((n, 14)), [("fr", s) for s in source])[1]
+    y = (rng.random(n) < 0.3).astype(float)
+    direct = fit_logistic(few, y)
+    monkeypatch.setattr(module, "DIRECT", 0)
+    assert np.abs(fit_logistic(few, y) - direct).max() < 1e-6
+
+
 def test_odd_rows_and_missing_labels(spark):
     rows = [(1, None, None), (1, None, None), (None, "", "en"), (3, "idiot " * 50_000, None), (4, "a b", "fr")]
     docs = spark.createDataFrame([(d, t, x, 5) for d, t, x in rows], "doc_id bigint, text string, lang string, score int")
