@@ -10,7 +10,8 @@ Every language and source in the sample is a feature of its own, whatever their
 their numbers, not as columns, and a fit with many features solves its steps by conjugate gradients.
 
 Features are computed where documents are read. The driver gets those of a bounded sample only: at most
-``LABELLED`` labelled and ``UNLABELLED`` unlabelled documents, drawn by a hash of their id.
+``LABELLED`` labelled and ``UNLABELLED`` unlabelled documents, drawn by a hash of their id from the ids that
+are there. An id counts once: of its rows one goes into each sample, the same in every run.
 """
 
 from __future__ import annotations
@@ -285,14 +286,18 @@ def train_quality(
     order = F.xxhash64("doc_id")
     known = labels.filter(~held_out() & F.col("quality").isNotNull())
     known = known.groupBy("doc_id").agg(F.max("quality").cast("int").alias("label"))
-    ids = known.orderBy(order, "doc_id").limit(labelled)
-    others = docs.select("doc_id").filter("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")
-    others = others.limit(unlabelled).select("doc_id", F.lit(None).cast("int").alias("label"))
+    there = docs.select("doc_id").filter("doc_id IS NOT NULL").distinct()
+    ids = known.join(there, "doc_id", "left_semi").orderBy(order, "doc_id").limit(labelled)
+    others = there.orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(unlabelled)
+    others = others.select("doc_id", F.lit(None).cast("int").alias("label"))
     ids = ids.unionByName(others)
-    # Both samples are bounded by their parameters.
+    # Both samples are bounded by their parameters, one row for each id.
     sample = _described(_rows(docs).join(F.broadcast(ids), "doc_id").select(
         "doc_id", "text", "n_chars", "lang", "source", "label"
     ))
+    view = ("numbers", "lang", "source")
+    sample = sample.groupBy("doc_id", "label").agg(F.min_by(F.struct(*view), F.xxhash64(*view)).alias("view"))
+    sample = sample.select("doc_id", "label", "view.*")
     rows = sample.withColumn("kept", F.crc32(F.concat(F.lit("c"), "doc_id").cast("binary")) % 4 == 0).collect()
     rows.sort(key=lambda r: (r.doc_id, r.label is None, r.numbers))
     with_label = [r for r in rows if r.label is not None]

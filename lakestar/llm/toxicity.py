@@ -6,8 +6,8 @@ class-prior-corrected risk ``pi * R_P(+) + max(0, R_U(-) - pi * R_P(-))``: where
 negative, the step goes the other way, so that the classifier cannot profit from fitting noise.
 
 Training data is a bounded sample: at most ``POSITIVES`` confirmed and ``UNLABELLED`` other texts, drawn by
-a hash of their id. Words are counted on the executors; the driver gets the ``FEATURES`` most telling
-words and each sampled text as the list of those it holds. All texts are scored where they are read.
+a hash of their id from the ids that are there, one row for each. Words are counted on the executors; the
+driver gets the ``FEATURES`` most telling words and each sampled text as the list of those it holds. All texts are scored where they are read.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import held_out, staged
 
 POSITIVES = 6_000
 UNLABELLED = 12_000
@@ -44,15 +44,18 @@ def _text_features(text: str | None) -> set[str]:
 
 
 def sample_training(docs: DataFrame, labels: DataFrame, positives: int, unlabelled: int) -> DataFrame:
-    """Rows (positive, text) of the bounded sample; no label of a held-out row is looked at."""
+    """Stored rows (positive, text) of the bounded sample; no label of a held-out row is looked at. Of the
+    rows of a repeated id one is taken, the same in every run."""
     order = F.xxhash64("doc_id")
     known = labels.filter(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    toxic = known.filter("toxic = 1").select("doc_id", order.alias("o")).orderBy("o", "doc_id").limit(positives)
-    other = docs.filter(~held_out()).select("doc_id", order.alias("o")).orderBy("o", "doc_id").limit(unlabelled)
+    there = docs.select("doc_id").filter("doc_id IS NOT NULL").distinct()
+    toxic = known.filter("toxic = 1").join(there, "doc_id", "left_semi").orderBy(order, "doc_id").limit(positives)
+    other = there.filter(~held_out()).orderBy(order, "doc_id").limit(unlabelled)
     ids = toxic.select("doc_id", F.lit(1).alias("positive")).unionByName(
         other.select("doc_id", F.lit(0).alias("positive"))
     )
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("positive", "text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").groupBy("doc_id", "positive")
+    return staged(rows.agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("positive", "text"), "toxic-sample")
 
 
 def _telling_features(sample: DataFrame, n_pos: int, n_unl: int, limit: int) -> list[str]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lakestar.llm import quality as module
 from lakestar.llm.quality import Encoding, co_train, fit_logistic, score_quality, train_quality
 from lakestar.llm.queries import QUERIES
-from lakestar.llm.toxicity import fit_nnpu, score_toxicity, train_toxicity
+from lakestar.llm.toxicity import fit_nnpu, sample_training, score_toxicity, train_toxicity
 
 TABLES = "/root/testdata/sf0.01"
 
@@ -69,6 +69,31 @@ def test_every_name_is_a_feature_and_many_are_fitted_alike(monkeypatch):
     assert np.abs(fit_logistic(few, y) - direct).max() < 1e-6
 
 
+def test_samples_are_full_of_documents_that_are_there_and_bounded(spark, monkeypatch):
+    """Labels of a much larger corpus, and ids that repeat."""
+    docs = spark.read.parquet(f"{TABLES}/documents.parquet")
+    labels = spark.read.parquet(f"{TABLES}/labels.parquet")
+    more = spark.range(10**6, 10**6 + 40_000).select(
+        F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"), F.lit(1).alias("toxic")
+    )
+    wide = labels.select("doc_id", "quality", "toxic").union(more.select(*[F.col(c).cast(labels.schema[c].dataType) for c in more.columns]))
+    assert train_quality(docs, wide, labelled=1000).encoding is not None
+    counts = [
+        {r.positive: r.n for r in sample_training(docs, t, 20, 100).groupBy("positive").agg(F.count("*").alias("n")).collect()}
+        for t in (labels, wide)
+    ]
+    assert counts[0] == counts[1] == {1: 20, 0: 100}
+    many = docs.withColumn("copy", F.explode(F.array(*map(F.lit, range(5))))).withColumn("text", F.concat("text", F.lit(" "), "copy"))
+    got = sample_training(many, labels, 20, 100).groupBy("positive").agg(F.count("*").alias("n")).collect()
+    assert {r.positive: r.n for r in got} == {1: 20, 0: 100}
+
+    seen = []
+    before = Encoding.of
+    monkeypatch.setattr(module.Encoding, "of", lambda numbers, names: seen.append(len(numbers)) or before(numbers, names))
+    train_quality(many.drop("copy"), labels, labelled=200, unlabelled=100)
+    assert seen == [300]
+
+
 def test_odd_rows_and_missing_labels(spark):
     rows = [(1, None, None), (1, None, None), (None, "", "en"), (3, "idiot " * 50_000, None), (4, "a b", "fr")]
     docs = spark.createDataFrame([(d, t, x, 5) for d, t, x in rows], "doc_id bigint, text string, lang string, score int")
