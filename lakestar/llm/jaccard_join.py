@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import small, staged
 from .components import components
@@ -340,11 +341,7 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     candidate for component_id; a component without ids has none.
     """
     rows, links = jaccard_classes(docs)
-    roots = components(links).select(F.col("node").alias("class"), "root")
-    least = rows.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"))
-    rooted = staged(
-        least.join(roots, "class", "left").select("class", F.coalesce("root", "class").alias("root"), "least"), "rooted"
-    )
+    rooted = _rooted(rows, links)
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(named, "root").select("class", "component_id")
     return rows.join(named, "class", "left").select(
@@ -354,13 +351,48 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     )
 
 
+def _rooted(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """Stored rows (class, root, least): the root of the class's component, the class's least doc_id."""
+    roots = components(links).select(F.col("node").alias("class"), "root")
+    least = rows.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"))
+    return staged(
+        least.join(roots, "class", "left").select("class", F.coalesce("root", "class").alias("root"), "least"), "rooted"
+    )
+
+
+def _with_class(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with the class of each row (null for an empty set) as a last column."""
+    at, names = docs.columns.index("text"), [*docs.columns, name]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = [shingle_set(text) for text in batch.column(at).to_pylist()]
+            classes = pa.array([set_hash(s) if len(s) else None for s in got], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, classes], names)
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
+
+
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """One row of each component of ``docs``, with all columns: the one whose doc_id names it, one of
-    them if that id repeats. Rows without words are components of their own; rows without an id cannot
-    be told apart and are all kept."""
-    named = jaccard_join(docs).filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
-    named = staged(named, "named")
+    """One row of each component of ``docs``, with all columns: the one with the least doc_id, and of
+    several texts under that id the one whose class is least. Distinct texts under one id are told apart:
+    each stays or goes with its own component. Rows without words are components of their own, one for
+    each id; rows without an id cannot be told apart and are all kept."""
+    rows, links = jaccard_classes(docs)
+    known = rows.filter("doc_id IS NOT NULL")
+    first = _rooted(rows, links).filter("least IS NOT NULL").groupBy("root")
+    first = first.agg(F.min(F.struct("least", "class")).alias("first")).select("first.*").toDF("doc_id", "class")
+    named = first.unionByName(known.filter("class IS NULL").select("doc_id", "class").distinct())
+    named = staged(named.join(known.groupBy("doc_id").agg(F.count("*").alias("n")), "doc_id"), "named")
     one = docs.join(small(named.filter("n = 1").select("doc_id")), "doc_id", "left_semi")
-    more = docs.join(small(named.filter("n > 1").select("doc_id")), "doc_id", "left_semi")
-    kept = one.unionByName(more.dropDuplicates(["doc_id"])).unionByName(docs.filter("doc_id IS NULL"))
+    # Only rows of repeated ids are read for their class again.
+    several = named.filter("n > 1")
+    more = docs.join(small(several.select("doc_id").distinct()), "doc_id", "left_semi")
+    name = "class"
+    while name in docs.columns:
+        name += "_"
+    more, several = _with_class(more, name).alias("m"), small(several).alias("s")
+    same = (F.col("m.doc_id") == F.col("s.doc_id")) & F.col(f"m.{name}").eqNullSafe(F.col("s.class"))
+    more = more.join(several, same, "left_semi").dropDuplicates(["doc_id", name]).drop(name)
+    kept = one.unionByName(more).unionByName(docs.filter("doc_id IS NULL"))
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

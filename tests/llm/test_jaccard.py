@@ -128,6 +128,15 @@ def test_one_of_each_stays(spark):
     assert sorted(((str(r.doc_id), r.text) for r in got), key=str) == [("5", "a b c d e f"), ("7", None), ("None", "a b c d e f")]
 
 
+def test_distinct_texts_under_one_id_stay_and_go_on_their_own(spark):
+    one, two, three = "a b c d e f", "q r s t u v w", "k l m n o p"
+    docs = [(1, one), (1, two), (2, one), (2, three), (2, three), (3, "Q r s t u v w"), (1, None), (4, "solo")]
+    got = keep_one_of_each(frame(spark, docs).withColumnRenamed("n", "class"))
+    assert got.columns == ["doc_id", "text", "class"]
+    expected = [(1, one), (1, two), (1, None), (2, three), (4, "solo")]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(expected, key=str)
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 140)] + [(7, 7), (1, 0)]
     got = components(spark.createDataFrame(edges, "a bigint, b bigint"))
