@@ -60,21 +60,35 @@ def _subtract(a: str, b: str) -> str:
     return f"zip_with({a}, {b}, (x, y) -> named_struct('n', x.n - y.n, 'k', x.k ^ y.k, 'c', x.c ^ y.c))"
 
 
-def peel(cells: str, size: int) -> str:
-    """SQL for the number of digests recovered from a difference of sketches, or null if it got stuck."""
+_NONE = "cast(array() AS array<struct<n: int, k: bigint>>)"
+
+
+def peeled(cells: str, size: int) -> str:
+    """SQL for the digests recovered from a difference of sketches, or null if it got stuck: structs of n,
+    1 for the first sketch's and -1 for the second's, and the digest k."""
     pure = f"""array_distinct(transform(filter(s.cells, x -> abs(x.n) = 1 AND x.c = xxhash64(x.k)),
         x -> named_struct('n', x.n, 'k', x.k, 'c', x.c, {_places('x.k', size)})))"""
     taken = """aggregate(pure, s.cells, (cells, q) -> transform(cells, (x, j) -> IF(
         j = q.i0 OR j = q.i1 OR j = q.i2, named_struct('n', x.n - q.n, 'k', x.k ^ q.k, 'c', x.c ^ q.c), x)))"""
     step = f"""transform(array({pure}), pure -> IF(size(pure) = 0, s,
-        named_struct('cells', {taken}, 'found', s.found + size(pure))))[0]"""
-    return f"""aggregate(sequence(1, {ROUNDS}), named_struct('cells', {cells}, 'found', 0), (s, i) -> {step},
+        named_struct('cells', {taken}, 'found', concat(s.found, transform(pure, q -> named_struct('n', q.n, 'k', q.k))))))[0]"""
+    return f"""aggregate(sequence(1, {ROUNDS}), named_struct('cells', {cells}, 'found', {_NONE}), (s, i) -> {step},
         s -> IF(forall(s.cells, x -> x.n = 0 AND x.k = 0 AND x.c = 0), s.found, NULL))"""
 
 
+def peel(cells: str, size: int) -> str:
+    """SQL for the number of digests recovered from a difference of sketches, or null if it got stuck."""
+    return f"array_size({peeled(cells, size)})"
+
+
 def differing(a: str, b: str, sizes=SIZES, share: int = 1) -> str:
-    """SQL for the number of digests that differ, recovered slice by slice; null if a slice got stuck at
-    every size."""
+    """SQL for the number of digests that differ, or null if a slice got stuck at every size."""
+    return f"array_size({recovered(a, b, sizes, share)})"
+
+
+def recovered(a: str, b: str, sizes=SIZES, share: int = 1) -> str:
+    """SQL for the digests that differ, as ``peeled`` gives them, recovered slice by slice; null if a
+    slice got stuck at every size."""
     bits = f"greatest(0, cast(ceil(log2((size({a}) + size({b}) + 1) / {share * PER_SLICE}.0D)) AS int))"
     # Cut twice, each time by about the root of the number of slices.
     masks = "'m', shiftleft(1L, cast(k DIV 2 AS int)) - 1L, 'r', shiftleft(1L, cast(k - k DIV 2 AS int)) - 1L"
@@ -86,8 +100,8 @@ def differing(a: str, b: str, sizes=SIZES, share: int = 1) -> str:
     parts = f"""transform(array({bits}), k -> transform(array(named_struct({masks})), p -> flatten(transform(
         transform(sequence(0L, p.m), h -> {cut(a, b, SLICE_SHIFT, 'p.m', 'h')}),
         w -> transform(sequence(0L, p.r), g -> {cut('w.a', 'w.b', SLICE_SHIFT + 10, 'p.r', 'g')}))))[0])[0]"""
-    tried = [peel(_subtract(sketch("t.a", size), sketch("t.b", size)), size) for size in sizes]
-    return f"aggregate({parts}, 0, (total, t) -> total + coalesce({', '.join(tried)}))"
+    tried = [peeled(_subtract(sketch("t.a", size), sketch("t.b", size)), size) for size in sizes]
+    return f"flatten(transform({parts}, t -> coalesce({', '.join(tried)})))"
 
 
 def _text(cells: str):

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakestar.llm import fingerprints as module
-from lakestar.llm.fingerprints import CELLS, PARAGRAPH, _subtract, differing, digests, fingerprint, peel, sketch, with_next
+from lakestar.llm.fingerprints import CELLS, PARAGRAPH, _subtract, differing, digests, fingerprint, peel, recovered, sketch, with_next
 
 _PARAGRAPH = re.compile(PARAGRAPH.replace("\\\\", "\\"))
 
@@ -89,6 +89,16 @@ def test_peeling_recovers_few_differences_at_the_smallest_size(spark):
     assert [tuple(r) for r in got] == [(2, 2), (0, 0), (1, 1)]
 
 
+def test_recovered_digests_are_those_that_differ(spark):
+    rng = random.Random(5)
+    pairs = [(made(rng, n), made(rng, n)) for n in (1, 30, 200)] + [("a. b. c. d.", "a. b. c. e."), ("", "")]
+    df = spark.createDataFrame(pairs, "x string, y string")
+    df = df.select(F.expr(digests("x")).alias("x"), F.expr(digests("y")).alias("y"))
+    for r in df.select("x", "y", F.expr(recovered("x", "y")).alias("got")).collect():
+        expected = {(1, k) for k in set(r.x) - set(r.y)} | {(-1, k) for k in set(r.y) - set(r.x)}
+        assert len(r.got) == len(expected) and {tuple(g) for g in r.got} == expected
+
+
 def test_few_rows_and_none(spark):
     same(run(frame(spark, [(4, "Only. One.")])), plain([(4, "Only. One.")]))
     same(run(frame(spark, [(4, "Same."), (4, "Same.")])), plain([(4, "Same."), (4, "Same.")]))
