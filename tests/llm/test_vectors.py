@@ -1,0 +1,175 @@
+"""Vector codes and the vector search against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from fractions import Fraction
+from math import floor, inf, nan, sqrt
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lakestar.llm.collision_search import Block, nearest_vectors
+from lakestar.llm.vector_codes import compress_vectors, nearest, to_integers, walsh
+
+SCHEMA = "vec_id bigint, embedding array<double>, label int"
+
+
+def usable(v):
+    return v is not None and all(x is not None and abs(x) < inf for x in v)
+
+
+def plain_codes(rows, parts=16, entries=64, rounds=2, scale=256):
+    """[(id, vector, label)] -> {(id, code, error, label error)} and the digest, by exact fractions."""
+    rows = sorted((r for r in rows if usable(r[1])), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    width = max((len(r[1]) for r in rows), default=0)
+    w = -(-width // parts)
+    whole = [[floor(Fraction(x) * scale) for x in v] + [0] * (w * parts - len(v)) for _, v, _ in rows]
+    cut = [[v[p * w : (p + 1) * w] for p in range(parts)] for v in whole]
+    books = [[v[p] for v in cut[:entries]] for p in range(parts)]
+
+    def best(part, book):
+        return min((sum((a - b) ** 2 for a, b in zip(part, e, strict=True)), i) for i, e in enumerate(book))
+
+    for _ in range(rounds):
+        for p in range(parts):
+            chosen = [best(v[p], books[p])[1] for v in cut]
+            for i in set(chosen):
+                own = [v[p] for v, c in zip(cut, chosen, strict=True) if c == i]
+                books[p][i] = [sum(c) // len(own) for c in zip(*own, strict=True)]
+    found = [[best(v[p], books[p]) for p in range(parts)] for v in cut]
+    errors = [sum(d for d, _ in f) for f in found]
+    labels = {}
+    for (_, _, label), e in zip(rows, errors, strict=True):
+        labels[label] = labels.get(label, 0) + e
+    digest = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+    return sorted(
+        (str(r[0]), "".join(f"{i:02x}" for _, i in f), e, labels[r[2]], digest)
+        for r, f, e in zip(rows, found, errors, strict=True)
+    )
+
+
+def coded(df):
+    return sorted((str(r.vec_id), r.code, r.error, r.label_error, r.codebooks_sha256) for r in compress_vectors(df).collect())
+
+
+def test_transform_keeps_distances_and_orders_by_sign_changes():
+    rng = np.random.default_rng(1)
+    a, b = rng.integers(-99, 99, (7, 6)), rng.integers(-99, 99, (7, 6))
+    assert (((walsh(a) - walsh(b)) ** 2).sum(axis=1) == 8 * ((a - b) ** 2).sum(axis=1)).all()
+    rows = walsh(np.eye(8, dtype=np.int64)).T
+    assert np.count_nonzero(np.diff(rows, axis=1), axis=1).tolist() == list(range(8))
+
+
+def test_nearest_takes_the_first_of_equal_entries():
+    index, distance = nearest(np.array([[0, 0], [5, 5]]), np.array([[9, 9], [1, 0], [0, 1], [1, 0]]))
+    assert index.tolist() == [1, 0] and distance.tolist() == [1, 32]
+
+
+@pytest.mark.parametrize("size", [1.0, 1e9, 1e200])
+def test_floors_are_exact(size):
+    x = np.array([[0.1, -0.1, 1 / 3, -1 / 256, -0.0, 2.0**-60]]) * size
+    assert to_integers(x).tolist() == [[floor(Fraction(v) * 256) for v in x[0].tolist()]]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_codes_of_odd_vectors(spark, seed):
+    rng = random.Random(seed)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(32)], rng.choice([None, 1, 2])) for i in range(150)]
+    rows += [rows[3], rows[3], (7, rows[8][1], None), (None, rows[9][1], 1)]  # repeated rows and ids, null id
+    rows += [(200, None, 1), (201, [nan] * 32, 1), (202, [1.0, None], 1), (203, [inf], 2), (204, [], 3), (205, [2.5] * 31, 3)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3).withColumn("code", F.lit("x")).withColumn("error", F.lit(1.5))
+    assert coded(df) == plain_codes(rows)
+
+
+def test_codes_beyond_64_bits_few_rows_and_none(spark):
+    rows = [(1, [1e30, -1e30], 1), (2, [1e30, 1.0], 1), (3, [-2.0, 1e17], 2)]
+    exact = plain_codes(rows, rounds=2)
+    most = 2**63 - 1
+    clipped = [(a, b, min(e, most), min(t, most), d) for a, b, e, t, d in exact]
+    assert coded(spark.createDataFrame(rows, SCHEMA)) == clipped
+    assert coded(spark.createDataFrame([], SCHEMA)) == []
+    assert coded(spark.createDataFrame([(1, [nan], 1)], SCHEMA)) == []
+
+
+def plain_nearest(rows, k=5):
+    """[(id, vector)] -> {query id: ids by cosine}, for ids divisible by 50."""
+    rows = [r for r in rows if usable(r[1]) and any(r[1])]
+    width = max((len(v) for _, v in rows), default=0)
+    x = np.array([v + [0.0] * (width - len(v)) for _, v in rows])
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    cosines = (x @ x.T) / np.sqrt((x * x).sum(axis=1))[:, None] / np.sqrt((x * x).sum(axis=1))
+    out = []
+    for i, (q, _) in enumerate(rows):
+        if q is not None and q % 50 == 0:
+            others = [(-round(cosines[i, j], 9), rows[j][0] is None, rows[j][0] or 0) for j in range(len(rows)) if j != i]
+            out.append((q, [(None if null else v) for _, null, v in sorted(others)[:k]]))
+    return sorted(out)
+
+
+def searched(df):
+    found = nearest_vectors(df, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect()
+    assert all(-1.000001 <= r.score <= 1.000001 for r in found)
+    lists = {}
+    for r in found:
+        lists.setdefault(r.query_id, []).append(r.vec_id)
+        assert r["rank"] == len(lists[r.query_id])
+    return sorted(lists.items())
+
+
+def recall(got, expected):
+    got = dict(got)
+    return sum(len(set(got.get(q, ())) & set(v)) for q, v in expected) / max(1, sum(len(v) for _, v in expected))
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_recall_on_spread_and_clustered_vectors(spark, kind):
+    rng = np.random.default_rng(5)
+    centres = rng.standard_normal((20, 48))
+    x = np.concatenate([rng.standard_normal((4000, 48)), centres[rng.integers(20, size=6000)] + 0.3 * rng.standard_normal((6000, 48))])
+    rows = [(i, v) for i, v in enumerate(x.astype(np.float32).astype(float).tolist())]
+    df = spark.createDataFrame(rows, f"vec_id bigint, embedding array<{kind}>")
+    found = searched(df)
+    assert len(found) == 200 and all(len(v) == 5 for _, v in found)
+    assert recall(found, plain_nearest(rows)) >= 0.95
+
+
+def test_scores_are_cosines_of_the_given_vectors(spark):
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((300, 7)) * np.array([1e-160, 1.0, 1e160])[rng.integers(3, size=300)][:, None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id bigint, embedding array<double>")
+    for r in nearest_vectors(df, F.col("vec_id") % 50 == 0).collect():
+        a, b = (x[i] / np.abs(x[i]).max() for i in (r.query_id, r.vec_id))
+        assert r.score == pytest.approx(float(a @ b) / sqrt(a @ a) / sqrt(b @ b), abs=1e-14)
+
+
+def test_copies_ties_and_vectors_left_out(spark):
+    rng = np.random.default_rng(7)
+    same, other = rng.standard_normal((2, 16)).tolist()
+    rows = [(i, same) for i in range(400)] + [(400 + i, v) for i, v in enumerate(rng.standard_normal((60, 16)).tolist())]
+    rows += [(1000, None), (1050, [0.0] * 16), (1100, [nan] * 16), (1150, [1.0, None]), (None, other), (2000, other[:9])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").withColumn("score", F.lit("x"))
+    found = dict(searched(df.repartition(3)))
+    assert found[100] == [0, 1, 2, 3, 4] and found[0] == [1, 2, 3, 4, 5]
+    assert sorted(found) == [*range(0, 451, 50), 2000]
+    assert found[2000][0] is None  # the same vector, but for its end
+
+
+def test_few_vectors_are_all_found(spark):
+    schema = "vec_id bigint, embedding array<double>"
+    rows = [(0, [1.0, 0.0]), (1, [-1.0, 0.0]), (2, [0.0, 1.0]), (50, [1.0, 1.0])]
+    assert searched(spark.createDataFrame(rows, schema)) == [(0, [50, 2, 1]), (50, [0, 2, 1])]
+
+    twice = nearest_vectors(spark.createDataFrame([(0, [1.0]), (0, [2.0])], schema), F.col("vec_id") % 50 == 0)
+    assert [tuple(r) for r in twice.collect()] == [(0, 1, 0, 1.0)] * 2  # each finds the other
+    assert searched(spark.createDataFrame([(0, [1.0])], schema)) == []
+    assert searched(spark.createDataFrame([], schema)) == []
+
+
+def test_windows_hold_what_is_near():
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((500, 20))
+    places, cosines = Block(x).search(x[3] * 7, k=5)
+    assert places[np.argmax(cosines)] == 3 and cosines.max() == pytest.approx(1.0)
