@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 
 ROWS, DISTINCT_ROWS, VALID = "_rows", "_distinct_rows", "_valid"
 
+# Why a row is not kept, as bits that add up.
+NULL_KEY, COPY, SUPERSEDED, OUT_OF_RANGE = 1, 2, 4, 8
+REASON_NAMES = {NULL_KEY: "null key", COPY: "copy", SUPERSEDED: "superseded", OUT_OF_RANGE: "out of range"}
+REASONS, N_ROWS = "reasons", "n_rows"
+
 
 def all_present(columns: Sequence[str]) -> Column:
     return reduce(and_, [F.col(c).isNotNull() for c in columns])
@@ -118,6 +123,72 @@ def quality_counts(
     return quality_groups(df, keys, required, accept, order_col).agg(*quality_totals())
 
 
+def verdicts(
+    df: DataFrame,
+    keys: Sequence[str],
+    required: Sequence[str],
+    accept: Column | None = None,
+    order_col: str | None = "load_date",
+) -> DataFrame:
+    """The distinct rows of ``df`` with ``reasons``, 0 for the rows that stay, and ``n_rows``, how many
+    rows of ``df`` that is said of. The numbers add up to the rows of ``df``.
+
+    A row without a required column has a null key. Of the others of a key, all but the latest are
+    superseded. Any row may be out of range, which ``accept`` says. The one row of a key that stays does so
+    once; its further copies are a second line. ``required`` must be part of ``keys``.
+
+    Copies collapse before any shuffle, and the latest row of a key is an aggregate too; the two meet in an
+    equi-join, whose hot keys adaptive execution splits. No key is ever held by a single task.
+    """
+    missing = set(required) - set(keys)
+    if missing:
+        raise ValueError(f"required columns outside the key: {sorted(missing)}")
+    if order_col is not None and order_col not in df.columns:
+        order_col = None
+    ranked = latest_first(df, keys, order_col)
+    distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(ROWS))
+    whole, fits = all_present(required), F.lit(True)
+    if accept is not None:
+        fits = F.coalesce(accept, F.lit(False))
+    superseded = F.lit(False)
+    if ranked:  # otherwise equal keys are equal rows
+        rank = F.struct(*[F.col(f"d.{c}") for c in ranked])
+        latest = distinct.filter(whole).groupBy(*keys).agg(F.max(F.struct(*ranked)).alias("_top"))
+        same = reduce(and_, [F.col(f"d.{k}").eqNullSafe(F.col(f"l.{k}")) for k in keys])
+        distinct = distinct.alias("d").join(latest.alias("l"), same, "left").select("d.*", (rank != F.col("_top")).alias("_late"))
+        superseded = F.coalesce("_late", F.lit(False))
+    reasons = (
+        F.when(whole, F.when(superseded, SUPERSEDED).otherwise(0)).otherwise(NULL_KEY)
+        + F.when(fits, 0).otherwise(OUT_OF_RANGE)
+    )
+    one = F.lit(1).cast("long")
+
+    def line(why: Column, n: Column) -> Column:
+        return F.struct(why.cast("int").alias(REASONS), n.alias(N_ROWS))
+
+    lines = F.when(F.col("_why") > 0, F.array(line(F.col("_why"), F.col(ROWS))))
+    lines = lines.when(F.col(ROWS) == 1, F.array(line(F.lit(0), one)))
+    lines = lines.otherwise(F.array(line(F.lit(0), one), line(F.lit(COPY), F.col(ROWS) - 1)))
+    return distinct.withColumn("_why", reasons).select(*df.columns, F.inline(lines))
+
+
+def verdict_totals() -> list[Column]:
+    """Aggregates over ``verdicts``: the same numbers as ``quality_totals`` gives."""
+    total, valid = F.coalesce(F.sum(N_ROWS), F.lit(0)), F.count_if(F.col(REASONS) == 0)
+    return [
+        total.cast("long").alias("total"),
+        valid.alias("valid"),
+        F.count_if((F.col(REASONS) != 0) & (F.col(REASONS) != COPY)).alias("invalid_distinct"),
+        (total - valid).cast("long").alias("invalid_total"),
+    ]
+
+
+def reason_names(reasons: Column) -> Column:
+    """The bits of ``reasons`` in words."""
+    names = [F.when(reasons.bitwiseAND(bit) != 0, F.lit(name)) for bit, name in REASON_NAMES.items()]
+    return F.array_compact(F.array(*names))
+
+
 def invalid_rows(df: DataFrame, kept: DataFrame) -> DataFrame:
     """Distinct rows of ``df`` that are not in ``kept`` (EXCEPT DISTINCT).
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import surrogate_key
-from ..operators.star import join_date
+from ..operators.star import date_skey, join_date
 from ..specs import FACT_ORDER_PAYMENTS, FACT_SALES
 
 DELIVERED = "Delivered"
@@ -64,6 +64,64 @@ def fact_sales(
     )
 
 
+LOST_AT = "lost_at"
+
+
+def checked_sales(
+    dates: DataFrame,
+    customers: DataFrame,
+    orders: DataFrame,
+    products: DataFrame,
+    items: DataFrame,
+    as_of: dt.date,
+    match_seller: bool = True,
+) -> DataFrame:
+    """Every order item with the columns of the sales fact and ``lost_at``: the first match that it has
+    not, of ``order``, ``status`` (the order is not delivered), ``date``, ``customer`` and ``product``. It is
+    null for a sale; these are the rows of ``fact_sales``.
+
+    One plan for both: the same joins in the same order, as left joins with a flag for each table.
+    """
+
+    def flagged(table: DataFrame, name: str) -> DataFrame:
+        return table.withColumn(f"_{name}", F.lit(True))
+
+    heads = orders.select("order_skey", "customer_skey", "order_status", "order_purchase_timestamp")
+    heads = heads.withColumn("date_skey", date_skey(F.col("order_purchase_timestamp")))
+    heads = heads.join(flagged(dates.select("date_skey", "cal_month_name"), "date"), "date_skey", "left")
+    buyers = customers.select("customer_skey", "customer_state", "customer_state_code")
+    heads = heads.join(flagged(buyers, "customer"), "customer_skey", "left")
+    lines = items.select("order_skey", "product_skey", "seller_skey", "item_quantity", "price", "freight_value")
+    product_key = ["product_skey", "seller_skey"] if match_seller else ["product_skey"]
+    categories = products.select(*product_key, "product_category_name_english")
+    wide = lines.join(flagged(heads, "order"), "order_skey", "left")
+    wide = wide.join(flagged(categories, "product"), product_key, "left")
+    lost = F.when(F.col("_order").isNull(), "order")
+    lost = lost.when(~F.col("order_status").eqNullSafe(DELIVERED), "status")
+    for name in ("date", "customer", "product"):
+        lost = lost.when(F.col(f"_{name}").isNull(), name)
+    return (
+        wide.withColumn(LOST_AT, lost)
+        .withColumn("net_sales_amount", F.col("price") + F.col("freight_value"))
+        .withColumn("load_date", F.lit(as_of))
+        .withColumnsRenamed(
+            {
+                "cal_month_name": "order_purchase_month",
+                "item_quantity": "sales_quantity",
+                "price": "net_price",
+                "freight_value": "net_freight_value",
+            }
+        )
+        .select(*FACT_SALES.schema.names, LOST_AT)
+    )
+
+
+def lost_sales(checked: DataFrame) -> DataFrame:
+    """The items of ``checked_sales`` that are no sale."""
+    kept = ["order_skey", "product_skey", "seller_skey", "sales_quantity", "net_price", "net_freight_value"]
+    return checked.filter(F.col(LOST_AT).isNotNull()).select(*kept, LOST_AT)
+
+
 def fact_order_payments(
     dates: DataFrame, orders: DataFrame, payments: DataFrame, as_of: dt.date
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.scd2 import DEFAULT_ACTOR, current
 from ..operators.star import date_dim
 from ..sources.audit import LoadAudit, read_audit, reconcile
-from ..sources.tables import latest_path, read_table, write_snapshot
+from ..sources.tables import latest_path, read_table, settle_reload, write_snapshot
 from ..specs import DIMENSIONS, FACT_ORDER_PAYMENTS, FACT_SALES, FEEDS, SILVER, TableSpec
 from . import facts, loads
 from .silver import bronze_columns
@@ -56,16 +56,29 @@ class Lakehouse:
     def bronze(self, app: str) -> DataFrame:
         feed = FEEDS[app]
         columns = ", ".join(f"`{c}` string" for c in feed.columns)
+        root = self._path("bronze", feed.name)
+        settle_reload(self.spark, root)
         reader = self.spark.read.schema(f"{columns}, load_date date")
-        return reader.parquet(self._path("bronze", feed.name)).select(*bronze_columns(feed))
+        return reader.parquet(root).select(*bronze_columns(feed))
 
-    def load_silver(self, app: str, scope: str = "table", keep_newer: bool = False) -> loads.LoadResult:
+    def load_silver(self, app: str, scope: str = "bucket", keep_newer: bool = False) -> loads.LoadResult:
         spec = SILVER[app]
         root = self._path("silver", spec.name)
         return loads.load_silver(
-            self.spark, self.bronze(app), root, spec, self.audit, scope, keep_newer
+            self.spark,
+            self.bronze(app),
+            root,
+            spec,
+            self.audit,
+            scope,
+            keep_newer,
+            quarantine=self._path("quarantine", spec.name),
         )
 
+    def rejected(self, app: str) -> DataFrame:
+        """Rows that Silver loads did not keep, with their reasons and their jobs."""
+        return loads.read_rejected(self.spark, self._path("quarantine", SILVER[app].name), FEEDS[app])
+
     def silver(self, app: str, columns: tuple[str, ...] | None = None) -> DataFrame:
         spec = SILVER[app]
         return read_table(self.spark, self._path("silver", spec.name), spec.schema, columns)
@@ -100,17 +113,16 @@ class Lakehouse:
     def _load_fact(self, rows: DataFrame, spec: TableSpec) -> loads.LoadResult:
         return loads.load_fact(self.spark, rows, self._path("gold", spec.name), spec, self.audit)
 
+    def _star(self) -> tuple[DataFrame, ...]:
+        apps = ("Customers", "Orders", "Products", "Order_Items")
+        return (self.calendar(), *(current(self.dimension(app)) for app in apps))
+
     def load_sales(self, match_seller: bool = True) -> loads.LoadResult:
-        rows = facts.fact_sales(
-            self.calendar(),
-            current(self.dimension("Customers")),
-            current(self.dimension("Orders")),
-            current(self.dimension("Products")),
-            current(self.dimension("Order_Items")),
-            self.as_of,
-            match_seller,
-        )
-        return self._load_fact(rows, FACT_SALES)
+        return self._load_fact(facts.fact_sales(*self._star(), self.as_of, match_seller), FACT_SALES)
+
+    def lost_sales(self, match_seller: bool = True) -> DataFrame:
+        """Order items that are in no sale, with the first table that has no match for them."""
+        return facts.lost_sales(facts.checked_sales(*self._star(), self.as_of, match_seller))
 
     def load_payments(self) -> loads.LoadResult:
         rows = facts.fact_order_payments(

@@ -14,9 +14,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ..operators.quality import VALID, quality_totals
-from ..operators.scd2 import DEFAULT_ACTOR, is_open, scd2_changes
+from ..operators.quality import N_ROWS, REASONS, VALID, quality_totals, verdict_totals
+from ..operators.scd2 import DEFAULT_ACTOR, scd2_changes
 from ..operators.upsert import upsert
 from ..sources.audit import LoadAudit
 from ..sources.feeds import read_feed
@@ -33,9 +34,9 @@ from ..sources.tables import (
     write_full_reload,
     write_snapshot,
 )
-from ..specs import FEEDS, LOAD_DATE, DimensionSpec, SilverSpec, TableSpec
+from ..specs import FEEDS, LOAD_DATE, DimensionSpec, FeedSpec, SilverSpec, TableSpec
 from .bronze import add_audit
-from .silver import bronze_columns, standardize, valid_groups
+from .silver import bronze_columns, feed_verdicts, standardize, valid_groups
 
 KEEP_SNAPSHOTS = 3
 
@@ -53,10 +54,12 @@ class LoadResult:
 
 
 @contextmanager
-def staged(spark: SparkSession, df: DataFrame, name: str, root: str) -> Iterator[DataFrame]:
+def staged(
+    spark: SparkSession, df: DataFrame, name: str, root: str, partition_by: Sequence[str] = ()
+) -> Iterator[DataFrame]:
     """``df`` as a written table for the time of the block; ``root`` is the table it is meant for."""
     path = scratch_path(spark, name, root)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
@@ -111,38 +114,73 @@ def ingest_from_spec(
     )
 
 
+JOB_ID = "job_id"
+
+
+def store_rejected(spark: SparkSession, rejected: DataFrame, root: str, job_id: int) -> None:
+    """Stores the rejected rows of a job in place of those it may have stored before."""
+    if rejected.isEmpty():
+        discard(spark, f"{root}/{JOB_ID}={job_id}")
+    else:
+        overwrite_partitions(rejected.withColumn(JOB_ID, F.lit(job_id).cast("long")), root, [JOB_ID])
+
+
+def read_rejected(spark: SparkSession, root: str, feed: FeedSpec) -> DataFrame:
+    """Rows that loads did not keep: those of the feed, why, how many copies, and which job."""
+    columns = [f"`{c}` string" for c in feed.columns]
+    columns += [f"{LOAD_DATE} date", f"{N_ROWS} bigint", f"{REASONS} int", f"{JOB_ID} bigint"]
+    return read_table(spark, root, StructType.fromDDL(", ".join(columns)))
+
+
 def load_silver(
     spark: SparkSession,
     bronze: DataFrame,
     root: str,
     spec: SilverSpec,
     audit: LoadAudit,
-    scope: str = "table",
+    scope: str = "bucket",
     keep_newer: bool = False,
     keep_snapshots: int = KEEP_SNAPSHOTS,
+    quarantine: str | None = None,
 ) -> LoadResult:
     """Silver: valid rows of a Bronze table, upserted.
 
     One pass over Bronze gives the rows and all counts. The counts are observed in the stage that
     writes the staged rows, where a retried task is counted once.
 
-    With ``scope="table"`` a key may move between partitions, so the load writes a new snapshot;
-    with ``scope="partition"`` it rewrites the touched partitions in place. A table keeps the scope of
-    its first load; another one fails before anything is written. After a complete snapshot all but the
-    newest ``keep_snapshots`` go, so that readers of the one before can finish.
+    With ``scope="bucket"`` a key is unique in the table, which is stored by a hash of the key: a load
+    reads and rewrites the buckets its batch has keys in, in place. ``scope="table"`` keeps the partitions of
+    the spec, between which a key may move, so every load writes a new snapshot of the whole table; all but
+    the newest ``keep_snapshots`` go, so that readers of the one before can finish. With
+    ``scope="partition"`` a key is unique in its partition and the touched ones are rewritten in place. A
+    table keeps the scope of its first load; another one fails before anything is written.
+
+    With ``quarantine``, a folder, the same pass over Bronze also yields the rows that are not kept, with
+    the reasons, and they are stored there under the job's id; running the job again replaces them.
     """
+    if scope not in ("bucket", "table", "partition"):
+        raise ValueError(f"unknown load scope: {scope}")
     pre = table_count(spark, root, spec.schema)
     with audit.load(spec.app, spec.name, pre) as outcome:
         require_layout(spark, root, snapshots=scope == "table")
         counted = Observation(f"quality {spec.name}")
-        groups = valid_groups(bronze, spec.feed).observe(counted, *quality_totals())
-        rows = groups.filter(VALID).select(*bronze_columns(spec.feed))
         with ExitStack() as stages:
-            valid = stages.enter_context(staged(spark, rows, spec.name, root))
+            if quarantine is None:
+                groups = valid_groups(bronze, spec.feed).observe(counted, *quality_totals())
+                rows = groups.filter(VALID).select(*bronze_columns(spec.feed))
+                valid = stages.enter_context(staged(spark, rows, spec.name, root))
+            else:
+                judged = feed_verdicts(bronze, spec.feed).observe(counted, *verdict_totals())
+                judged = stages.enter_context(staged(spark, judged, spec.name, root, [REASONS]))
+                store_rejected(spark, judged.filter(F.col(REASONS) != 0), quarantine, audit.job_id)
+                valid = judged.filter(F.col(REASONS) == 0).select(*bronze_columns(spec.feed))
             batch = blank_partitions_to_null(standardize(valid, spec), spec.partition_by)
             if spec.app == "Order_Items":  # an aggregate; the others are projections
                 batch = stages.enter_context(staged(spark, batch, f"{spec.name}_rollup", root))
-            if scope == "partition":
+            if scope == "bucket":
+                if not batch.isEmpty():
+                    merge_partitions(spark, root, spec.bucketed(), batch, keep_newer)
+            elif scope == "partition":
                 merge_partitions(spark, root, spec, batch, keep_newer)
             else:
                 table = read_table(spark, root, spec.schema)
@@ -167,8 +205,9 @@ def load_dimension(
 ) -> LoadResult:
     """Gold dimension: the change set of a Silver table, applied in place.
 
-    All change rows are open or end on the day before ``as_of``. The record key holds the end date,
-    so only those two partitions can hold rows to replace; older history is never rewritten.
+    All change rows are open or end on the day before ``as_of``. The record key holds the end date, so only
+    that day and the buckets of the changed keys among the open rows can hold rows to replace: nothing else
+    is read for the merge or written, neither older history nor the other buckets.
     """
     pre = table_count(spark, root, spec.schema)
     with audit.load(spec.app, spec.name, pre) as outcome:
@@ -178,16 +217,7 @@ def load_dimension(
         )
         with staged(spark, changes, spec.name, root) as batch:
             if not batch.isEmpty():
-                closing_today = (F.col("is_current") == 0) & (
-                    F.col("eff_end_dt") == F.lit(as_of - dt.timedelta(days=1))
-                )
-                merged = upsert(
-                    dim.filter(is_open() | closing_today),
-                    batch,
-                    spec.record_key,
-                    spec.table.order_col,
-                )
-                overwrite_partitions(merged, root, spec.table.partition_by)
+                merge_partitions(spark, root, spec.table, batch)
         outcome.row_count = table_count(spark, root, spec.schema)
     return LoadResult(spec.name, pre, outcome.row_count)
 

@@ -11,6 +11,7 @@ from ..operators.quality import (
     quality_counts,
     quality_groups,
     require_not_null,
+    verdicts,
 )
 from ..specs import LAST_UPDATE, LOAD_DATE, SILVER, FeedSpec, SilverSpec
 
@@ -42,6 +43,13 @@ def valid_groups(bronze: DataFrame, feed: FeedSpec) -> DataFrame:
     return quality_groups(rows, feed.dedupe_keys, feed.required, accept, LOAD_DATE)
 
 
+def feed_verdicts(bronze: DataFrame, feed: FeedSpec) -> DataFrame:
+    """Every distinct row of a feed, with the reasons why it is not kept."""
+    accept = feed.accept() if feed.accept else None
+    rows = bronze.select(*bronze_columns(feed))
+    return verdicts(rows, feed.dedupe_keys, feed.required, accept, LOAD_DATE)
+
+
 def feed_counts(bronze: DataFrame, feed: FeedSpec) -> DataFrame:
     """One row with the total, valid and invalid counts of a feed."""
     accept = feed.accept() if feed.accept else None

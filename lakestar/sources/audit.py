@@ -10,10 +10,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, TimestampType
+from pyspark.sql.types import BooleanType, StructField, StructType, TimestampType
 
-from ..specs import LONG, STRING, struct
-from .tables import empty_table, exists
+from ..specs import DATE, LONG, STRING, struct
+from .tables import empty_table, exists, overwrite_partitions
 
 AUDIT_SCHEMA = struct(
     job_id=LONG,
@@ -27,6 +27,8 @@ AUDIT_SCHEMA = struct(
     attempt=STRING,
     logged_at=TimestampType(),
 )
+LOGGED_ON = "logged_on"  # the day, in UTC, that the log is partitioned by
+_STORED = StructType([*AUDIT_SCHEMA.fields, StructField(LOGGED_ON, DATE)])
 START, END = "start", "end"
 
 
@@ -39,7 +41,7 @@ class LoadOutcome:
 
 @dataclass(frozen=True)
 class LoadAudit:
-    """Appends audit rows of one job to a Parquet folder."""
+    """Appends audit rows of one job to a Parquet folder, one file a row in a folder for each day."""
 
     spark: SparkSession
     path: str
@@ -53,7 +55,8 @@ class LoadAudit:
         now = dt.datetime.now(dt.timezone.utc)
         values = (self.job_id, self.job_name, self.sys_name, app, table, event, flag, rows, attempt, now)
         row = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, AUDIT_SCHEMA)]
-        self.spark.range(0, 1, 1, 1).select(*row).write.mode("append").parquet(self.path)
+        row.append(F.lit(now.date()).alias(LOGGED_ON))
+        self.spark.range(0, 1, 1, 1).select(*row).write.mode("append").partitionBy(LOGGED_ON).parquet(self.path)
 
     def start(self, app: str, table: str, row_count: int, attempt: str | None = None) -> None:
         self._append(app, table, START, None, row_count, attempt)
@@ -77,10 +80,36 @@ class LoadAudit:
         self.end(app, table, True, outcome.row_count, attempt)
 
 
-def read_audit(spark: SparkSession, path: str) -> DataFrame:
+def read_audit(
+    spark: SparkSession, path: str, since: dt.date | None = None, until: dt.date | None = None
+) -> DataFrame:
+    """The log, or the rows of some days of it: only their folders are read. A load that runs past midnight
+    has its two rows in two days."""
     if not exists(spark, path):
         return empty_table(spark, AUDIT_SCHEMA)
-    return spark.read.schema(AUDIT_SCHEMA).parquet(path)
+    log = spark.read.schema(_STORED).parquet(path)
+    if since is not None:
+        log = log.filter(F.col(LOGGED_ON) >= F.lit(since))
+    if until is not None:
+        log = log.filter(F.col(LOGGED_ON) <= F.lit(until))
+    return log.select(*AUDIT_SCHEMA.names)
+
+
+def compact_audit(spark: SparkSession, path: str, before: dt.date) -> list[dt.date]:
+    """Makes one file of each day before ``before`` that has more; returns those days.
+
+    A load adds two files of one row. Choose a day that no running load writes to. Days are replaced when
+    the rewritten ones are whole, so a run that fails leaves the log as it was.
+    """
+    if not exists(spark, path):
+        return []
+    log = spark.read.schema(_STORED).parquet(path).filter(F.col(LOGGED_ON) < F.lit(before))
+    files = log.groupBy(LOGGED_ON).agg(F.count_distinct("_metadata.file_path").alias("files"))
+    days = sorted(r[LOGGED_ON] for r in files.filter("files > 1").collect())
+    if days:
+        old = log.filter(F.col(LOGGED_ON).isin(days))
+        overwrite_partitions(old, path, [LOGGED_ON])
+    return days
 
 
 def reconcile(audit: DataFrame) -> DataFrame:

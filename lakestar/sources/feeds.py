@@ -63,6 +63,31 @@ def read_feed(
     return df.select(*[F.col(c).cast("string").alias(c) for c in columns or df.columns])
 
 
+BROKEN, FILE = "broken_line", "file"
+
+
+def read_feed_lines(
+    spark: SparkSession, path: str, columns: Sequence[str], delimiter: str = ",", header: bool = True
+) -> DataFrame:
+    """A delimited feed with the lines that do not fit it.
+
+    ``broken_line`` holds the whole text of a line with too few or too many fields or an unclosed quote, and
+    is null for the others; ``file`` names where it is. Fields of broken lines are as far as they could be
+    read. All columns are parsed, whichever are selected, or lines would fit by being read in part.
+    """
+    reader = spark.read.schema(string_schema([*columns, BROKEN])).options(
+        sep=delimiter, header=header, mode="PERMISSIVE", columnNameOfCorruptRecord=BROKEN, columnPruning=False
+    )
+    # Spark refuses to read the broken lines alone; naming another column beside them says the same.
+    broken = F.when(F.col(BROKEN).isNotNull() | F.col(columns[0]).isNull(), F.col(BROKEN)).alias(BROKEN)
+    return reader.csv(path).select(*columns, broken, F.col("_metadata.file_path").alias(FILE))
+
+
+def line_counts(lines: DataFrame) -> DataFrame:
+    """Rows and broken lines of each file of ``read_feed_lines``."""
+    return lines.groupBy(FILE).agg(F.count(F.lit(1)).alias("n_lines"), F.count(BROKEN).alias("n_broken"))
+
+
 def enabled_specs(specs: DataFrame, sys_name: str) -> DataFrame:
     """Ingest specs of a system that are switched on, in load order."""
     return (

@@ -5,7 +5,8 @@ Two layouts, told apart on read:
 * snapshots, ``<root>/snapshot=<n>/``: a load writes the next folder in full and readers take the
   newest complete one. Nothing that is being read is ever touched.
 * in place, ``<root>/<partition>=.../``: a load replaces the partitions it has rows for and leaves
-  the others alone. Used where a key cannot move between partitions.
+  the others alone. Used where a key cannot move between partitions, which a hash bucket of the key as
+  the innermost partition makes true for any table.
 
 Writes are preceded by a rebalance on the partition columns: adaptive execution then cuts a
 partition value that holds much of the table into many files and merges the small ones.
@@ -20,7 +21,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..operators.upsert import upsert
 from ..specs import TableSpec
@@ -136,9 +137,51 @@ def _writer(df: DataFrame, partition_by: Sequence[str]):
     return df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
 
 
+def _beside(root: str, kind: str) -> str:
+    """A folder next to a table, hidden from whoever lists the tables."""
+    parent, slash, name = root.rstrip("/").rpartition("/")
+    return f"{parent}{slash}_{kind}/{name}"
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    fs, to = _fs(spark, target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(_fs(spark, source)[1], to):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def settle_reload(spark: SparkSession, root: str) -> None:
+    """Puts a table back whose reload died between its two moves; readers of such tables call it first."""
+    old = _beside(root, "replaced")
+    if exists(spark, old) and not exists(spark, root):
+        _move(spark, old, root)
+
+
 def write_full_reload(df: DataFrame, root: str, partition_by: Sequence[str]) -> None:
-    """Replaces a table that is always delivered whole; rows are written where they were read."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(root)
+    """Replaces a table that is always delivered whole; rows are written where they were read.
+
+    They are written aside, whatever overwrite mode the session has, and the folders switch when all of
+    them are there: a write that fails leaves the stored table as it was, and nothing of the last reload
+    stays under another partition. The switch is two moves; ``settle_reload`` undoes the first if the
+    driver dies between them. One writer per table at a time.
+    """
+    spark = df.sparkSession
+    settle_reload(spark, root)
+    aside, old = _beside(root, "reload"), _beside(root, "replaced")
+    for left in (aside, old):  # by a run that died
+        discard(spark, left)
+    try:
+        df.write.mode("error").partitionBy(*partition_by).parquet(aside)
+        if exists(spark, root):
+            _move(spark, root, old)
+        try:
+            _move(spark, aside, root)
+        except Exception:
+            settle_reload(spark, root)
+            raise
+    finally:
+        discard(spark, aside)
+    discard(spark, old)
 
 
 def write_snapshot(spark: SparkSession, df: DataFrame, root: str, partition_by: Sequence[str]) -> str:
@@ -208,22 +251,50 @@ def in_partitions_of(target: DataFrame, batch: DataFrame, partition_by: Sequence
     return reduce(DataFrame.unionByName, parts) if parts else target.filter(F.lit(False))
 
 
+def stored_layout(spark: SparkSession, root: str) -> tuple[str, ...]:
+    """The folder levels of a table stored in place, from any of its rows' folders; none if it is empty."""
+    levels: list[str] = []
+    while folders := _folders(spark, root):
+        levels.append(folders[0].split("=")[0])
+        root = f"{root}/{folders[0]}"
+    return tuple(levels)
+
+
+def require_levels(spark: SparkSession, root: str, spec: TableSpec) -> None:
+    """Fails if the table has other folder levels, another number of buckets for one: its rows would not be
+    found where the spec looks for them."""
+    stored = stored_layout(spark, root)
+    if stored and stored != spec.layout:
+        raise ValueError(f"{root} is stored by {stored} and cannot be loaded by {spec.layout}")
+
+
+def bucketed(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """``df`` with the bucket of each row, if the table has buckets; -1 where rows stay together."""
+    if not spec.buckets:
+        return df
+    bucket = F.pmod(F.xxhash64(*spec.bucket_by), F.lit(spec.buckets)).cast("int")
+    return df.withColumn(spec.bucket_column, F.when(F.expr(spec.bucket_if), bucket).otherwise(-1))
+
+
 def merge_partitions(
     spark: SparkSession, root: str, spec: TableSpec, batch: DataFrame, keep_newer: bool = False
 ) -> None:
     """Upserts a stored batch partition by partition, in place.
 
-    ``batch`` is read more than once, so it should be a written table and not a long plan.
+    ``batch`` is read more than once, so it should be a written table and not a long plan. Partitions, and
+    buckets, without a row of the batch are neither read nor written.
     """
     require_layout(spark, root, snapshots=False)
-    target = read_table(spark, root, spec.schema)
+    require_levels(spark, root, spec)
+    schema = StructType([*spec.schema.fields, *([StructField(spec.bucket_column, IntegerType())] if spec.buckets else [])])
+    batch = bucketed(batch, spec)
     merged = upsert(
-        in_partitions_of(target, batch, spec.partition_by),
+        in_partitions_of(read_table(spark, root, schema), batch, spec.layout),
         batch,
         spec.keys,
         spec.order_col,
         scope="partition",
-        partition_cols=spec.partition_by,
+        partition_cols=spec.layout,
         keep_newer=keep_newer,
     )
-    overwrite_partitions(merged, root, spec.partition_by)
+    overwrite_partitions(merged, root, spec.layout)

@@ -6,7 +6,7 @@ The column names, keys and types below are the contract of the data set: fixed v
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -37,6 +37,7 @@ from .functions import (
 )
 
 TIMESTAMP_FORMAT = "dd-MM-yyyy hh:mm:ss a"
+BUCKETS = 16
 LOAD_DATE = "load_date"
 LAST_UPDATE = "last_update_date"
 
@@ -75,14 +76,32 @@ class TableSpec:
     keys: tuple[str, ...]
     partition_by: tuple[str, ...]
     order_col: str
+    # Tables stored in place may be cut further, by a hash of ``bucket_by`` into so many folders: a load
+    # rewrites those that hold a key of its batch. Rows that ``bucket_if`` rules out stay together. Choose
+    # the number so that a bucket is some hundred megabytes; a table keeps the number of its first load.
+    buckets: int = field(default=0, kw_only=True)
+    bucket_by: tuple[str, ...] = field(default=(), kw_only=True)
+    bucket_if: str = field(default="true", kw_only=True)
 
     def __post_init__(self) -> None:
-        named = {*self.keys, *self.partition_by, self.order_col}
+        named = {*self.keys, *self.partition_by, *self.bucket_by, self.order_col}
         unknown = named - set(self.schema.names)
         if unknown:
             raise ValueError(f"{self.name}: columns not in the schema: {sorted(unknown)}")
         if not self.keys:
             raise ValueError(f"{self.name}: a record key is required")
+        if self.buckets and not self.bucket_by:
+            raise ValueError(f"{self.name}: buckets need columns to hash")
+
+    @property
+    def layout(self) -> tuple[str, ...]:
+        """The folder levels of a table stored in place."""
+        return (*self.partition_by, self.bucket_column) if self.buckets else self.partition_by
+
+    @property
+    def bucket_column(self) -> str:
+        """Holds the number of buckets, so that a table of another number is told apart."""
+        return f"bucket_of_{self.buckets}"
 
     @property
     def key_fixes_partition(self) -> bool:
@@ -96,6 +115,10 @@ class SilverSpec(TableSpec):
     # Output column -> conversion of the raw column with the same name.
     convert: Mapping[str, Callable[[Column], Column]] = field(default_factory=dict)
 
+    def bucketed(self, buckets: int = BUCKETS) -> SilverSpec:
+        """The table cut by its record key alone, so that a key never moves to another folder."""
+        return replace(self, partition_by=(), buckets=buckets, bucket_by=self.keys)
+
 
 @dataclass(frozen=True)
 class DimensionSpec:
@@ -105,6 +128,7 @@ class DimensionSpec:
     keys: tuple[str, ...]
     attributes: tuple[str, ...]
     silver_schema: StructType
+    buckets: int = BUCKETS
 
     @property
     def name(self) -> str:
@@ -130,8 +154,9 @@ class DimensionSpec:
 
     @property
     def table(self) -> TableSpec:
-        # The end date is a second partition level under the flag, so that a load rewrites only
-        # the open rows and the one day it closes, however long the history is.
+        # The end date is a second partition level under the flag, so that a load rewrites only the
+        # one day it closes, however long the history is, and open rows are cut by their business
+        # key, so that it rewrites only the buckets it changes.
         return TableSpec(
             name=self.name,
             app=self.app,
@@ -139,6 +164,9 @@ class DimensionSpec:
             keys=self.record_key,
             partition_by=("is_current", "eff_end_dt"),
             order_col="eff_start_dt",
+            buckets=self.buckets,
+            bucket_by=self.keys,
+            bucket_if="is_current = 1",
         )
 
 

@@ -550,6 +550,54 @@ def _load_audit() -> str:
     )
 
 
+def silver_two_days(app: str) -> str:
+    """The second delivery, and of the first what it does not hold."""
+    same = " and ".join(f"n.{k} = t.{k}" for k in TABLE[app][0])
+    return f"""with n as ({silver_table(app, 2)}) select * from n union all
+        select * from ({silver_table(app, 1)}) t where not exists (select 1 from n where {same})"""
+
+
+def rejected(app: str) -> str:
+    """What each day's load does not keep: 1 null key, 2 copy, 4 superseded, 8 out of range."""
+    keys, rest = RAW[app]
+    columns = ", ".join([*dict.fromkeys([*keys, *rest]), "load_date"])
+    present = " and ".join(f"{c} is not null" for c in REQUIRED[app])
+    order = ", ".join(f"{c} desc nulls last" for c in ["load_date", *rest])
+    outside = "coalesce(try_cast(rating_score as double) between 1 and 5, false)" if app == "Order_Ratings" else "true"
+    days = []
+    for day in DAY:
+        judged = f"""select *, case when not ({present}) then 1
+                when row_number() over (partition by {', '.join(keys)} order by {order}) > 1 then 4 else 0 end
+                + case when {outside} then 0 else 8 end as why
+            from (select {columns}, count(*) as n from ({FEED[app](day)}) group by all)"""
+        days.append(f"""select {columns}, case why when 0 then n - 1 else n end as n_rows,
+                (case why when 0 then 2 else why end)::integer as reasons, {day}::bigint as job_id
+            from ({judged}) where why > 0 or n > 1""")
+    return " union all ".join(days)
+
+
+LOST_SALES = f"""
+    select * from (
+        select i.order_skey, i.product_skey, i.seller_skey, i.item_quantity as sales_quantity, i.price as net_price,
+               i.freight_value as net_freight_value,
+               case when o.order_skey is null then 'order' when o.order_status is distinct from 'Delivered' then 'status'
+                    when dt.date_skey is null then 'date' when c.customer_skey is null then 'customer'
+                    when p.product_skey is null then 'product' end as lost_at
+        from ({current('Order_Items', 2)}) i
+        left join ({current('Orders', 2)}) o on o.order_skey = i.order_skey
+        left join ({CALENDAR}) dt on dt.cal_date = o.order_purchase_timestamp::date
+        left join ({current('Customers', 2)}) c on o.customer_skey = c.customer_skey
+        left join ({current('Products', 2)}) p on i.product_skey = p.product_skey and i.seller_skey = p.seller_skey)
+    where lost_at is not null"""
+
+BROKEN_LINES = """
+    select order_id, customer_id, case when k % 13 <> 0 then status when k % 11 = 0 then 'more' end as status,
+           case when k % 11 = 0 and k % 13 = 0 then order_id || '|' || customer_id || '|more|still'
+                when k % 11 = 0 then order_id || '|' || customer_id || '|' || status || '|more'
+                when k % 13 = 0 then order_id || '|' || customer_id end as broken_line
+    from (select o_orderkey as k, o_orderkey::varchar as order_id, o_custkey::varchar as customer_id,
+                 o_orderstatus as status from orders)"""
+
 SPACED = "'  ' || c_mktsegment || ' of ' || c_name || ' '"
 EVENT_AMOUNT = amount("value")
 
@@ -653,6 +701,15 @@ ORACLES: dict[str, str] = {
     "fact_sales": sales(2),
     "fact_order_payments": PAYMENTS,
     "fact_sales_upsert": SALES_UPSERT,
+    "fact_sales_sink": f"""select * replace (nullif(order_purchase_month, 'March') as order_purchase_month)
+        from ({SALES_UPSERT})""",
+    "bronze_reload": f"""select s_suppkey::varchar as s_suppkey, s_name, '2' as delivery, {D2} as load_date
+        from supplier where s_suppkey % 5 <> 2""",
+    **{f"dimension_sink_{app.lower()}": widen(app, dim_day2(app)) for app in ("Products", "Order_Items")},
+    **{f"silver_sink_{app.lower()}": widen(app, silver_two_days(app)) for app in ("Products", "Order_Items")},
+    **{f"quarantine_{app.lower()}": rejected(app) for app in ("Order_Ratings", "Order_Items")},
+    "lost_sales": LOST_SALES,
+    "scan_broken_lines": BROKEN_LINES,
     "load_audit_log": _load_audit(),
     "monthly_sales_by_category": MONTHLY,
 }

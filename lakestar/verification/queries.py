@@ -31,10 +31,10 @@ from ..operators.star import date_dim, date_dim_covering, join_date, undated
 from ..operators.upsert import upsert
 from ..plans import facts
 from ..plans.bronze import add_audit
-from ..plans.loads import ingest_feed, load_dimension, load_silver
+from ..plans.loads import ingest_feed, load_dimension, load_fact, load_silver, read_rejected
 from ..plans.silver import feed_counts, items_rollup, silver_transform, valid_rows
 from ..sources.audit import LoadAudit, read_audit, reconcile
-from ..sources.feeds import enabled_specs, read_feed
+from ..sources.feeds import FILE, enabled_specs, read_feed, read_feed_lines
 from ..sources.tables import read_table, scratch_path
 from ..specs import (
     AUDIT_COLUMNS,
@@ -55,6 +55,10 @@ from .stages import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Tables whose stored loads have queries of their own: one with a key of two columns, one that is rolled up.
+SINKS = ("Products", "Order_Items")
+
+
 def portable(df: DataFrame) -> DataFrame:
     """32-bit floats as doubles, which every engine prints and hashes alike."""
     return df.select(
@@ -356,6 +360,89 @@ def load_audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile(read_audit(spark, f"{root}/audit"))
 
 
+def dimension_sink(app: str) -> Query:
+    """Two daily loads of a stored dimension, read back."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root, spec = scratch_path(spark, "dimension_sink"), DIMENSIONS[app]
+        for day, as_of in DAY.items():
+            audit = LoadAudit(spark, f"{root}/audit", day, "daily", "verification")
+            load_dimension(spark, silver_table(spark, sf_dir, app, day), f"{root}/dim", spec, as_of, audit)
+        return portable(read_table(spark, f"{root}/dim", spec.schema))
+
+    return query
+
+
+def silver_sink(app: str) -> Query:
+    """Two daily loads of a stored Silver table, read back."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root, spec = scratch_path(spark, "silver_sink"), SILVER[app]
+        for day in DAY:
+            audit = LoadAudit(spark, f"{root}/audit", day, "daily", "verification")
+            load_silver(spark, bronze_table(spark, sf_dir, app, day), f"{root}/silver", spec, audit)
+        return portable(read_table(spark, f"{root}/silver", spec.schema))
+
+    return query
+
+
+def fact_sales_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two daily loads of the stored sales fact, read back; rows of March have no month."""
+    root = scratch_path(spark, "fact_sales_sink")
+    for day in DAY:
+        audit = LoadAudit(spark, f"{root}/audit", day, "daily", "verification")
+        rows = sales_table(spark, sf_dir, day)
+        rows = rows.withColumn("order_purchase_month", F.nullif("order_purchase_month", F.lit("March")))
+        load_fact(spark, rows, f"{root}/fact", FACT_SALES, audit)
+    return read_table(spark, f"{root}/fact", FACT_SALES.schema)
+
+
+def bronze_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed that is delivered on two days, read back from the stored table: the second delivery alone."""
+    root = scratch_path(spark, "bronze_reload")
+    for day in DAY:
+        audit = LoadAudit(spark, f"{root}/audit", day, "daily", "verification")
+        sellers = table(spark, sf_dir, "supplier").filter(F.col("s_suppkey") % 5 != day)
+        sellers = sellers.select("s_suppkey", "s_name", F.lit(day).alias("delivery"))
+        sellers.write.csv(f"{root}/raw{day}", header=True)
+        ingest_feed(spark, f"{root}/raw{day}", f"{root}/bronze", "Suppliers", "bronze_suppliers", DAY[day], audit)
+    schema = "s_suppkey string, s_name string, delivery string, load_date date"
+    return spark.read.schema(schema).parquet(f"{root}/bronze").select("s_suppkey", "s_name", "delivery", "load_date")
+
+
+def quarantine(app: str) -> Query:
+    """The rows that the loads of two days did not keep, with their reasons."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root, spec = scratch_path(spark, "quarantine"), SILVER[app]
+        for day in DAY:
+            audit = LoadAudit(spark, f"{root}/audit", day, "daily", "verification")
+            bronze = bronze_table(spark, sf_dir, app, day)
+            load_silver(spark, bronze, f"{root}/silver", spec, audit, quarantine=f"{root}/rejected")
+        return read_rejected(spark, f"{root}/rejected", spec.feed)
+
+    return query
+
+
+def lost_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def dim(app: str) -> DataFrame:
+        return scd2.current(dimension(spark, sf_dir, app, 2))
+
+    apps = ("Customers", "Orders", "Products", "Order_Items")
+    star = facts.checked_sales(date_dim(spark, *CALENDAR), *(dim(app) for app in apps), DAY[2])
+    return facts.lost_sales(star)
+
+
+def scan_broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delimited feed some of whose lines have a field too many or too few."""
+    path, key = scratch_path(spark, "broken_lines"), F.col("o_orderkey")
+    fields = [key.cast("string"), F.col("o_custkey").cast("string"), "o_orderstatus"]
+    line = F.when(key % 13 == 0, F.concat_ws("|", *fields[:2])).otherwise(F.concat_ws("|", *fields))
+    line = F.when(key % 11 == 0, F.concat(line, F.lit("|more"), F.when(key % 13 == 0, "|still").otherwise(""))).otherwise(line)
+    table(spark, sf_dir, "orders").select(line).write.text(path)
+    return read_feed_lines(spark, path, ["order_id", "customer_id", "status"], "|", header=False).drop(FILE)
+
+
 def audited_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_audit(table(spark, sf_dir, "orders"), DAY[2]).drop("uuid")
 
@@ -394,6 +481,13 @@ QUERIES: dict[str, Query] = {
     "fact_sales": fact_sales,
     "fact_order_payments": fact_order_payments,
     "fact_sales_upsert": fact_sales_upsert,
+    "fact_sales_sink": fact_sales_sink,
+    "bronze_reload": bronze_reload,
+    **{f"dimension_sink_{app.lower()}": dimension_sink(app) for app in SINKS},
+    **{f"silver_sink_{app.lower()}": silver_sink(app) for app in SINKS},
+    **{f"quarantine_{app.lower()}": quarantine(app) for app in ("Order_Ratings", "Order_Items")},
+    "lost_sales": lost_sales,
+    "scan_broken_lines": scan_broken_lines,
     "load_audit_log": load_audit_log,
     "monthly_sales_by_category": monthly_sales_by_category,
 }

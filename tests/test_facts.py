@@ -6,7 +6,7 @@ from conftest import final_plan, rows
 from pyspark.sql import functions as F
 
 from lakestar.operators.star import date_dim, date_dim_covering, join_date, undated
-from lakestar.plans.facts import fact_order_payments, fact_sales, monthly_sales_by_category
+from lakestar.plans.facts import checked_sales, fact_order_payments, fact_sales, lost_sales, monthly_sales_by_category
 
 AS_OF = dt.date(2024, 2, 1)
 AT = dt.datetime(2023, 1, 15, 10, 30)
@@ -198,3 +198,45 @@ def test_small_sides_are_broadcast_and_the_status_filter_is_pushed_down(spark, t
     assert plan.count("BroadcastHashJoin") == 4
     assert "EqualTo(order_status,Delivered)" in plan
     assert "order_approved_at" not in plan
+
+
+def test_every_item_is_a_sale_or_lost_somewhere(spark):
+    heads = [
+        ("O1_skey", "C0_skey", "Delivered", AT, AT),
+        ("O2_skey", "C0_skey", "Shipped", AT, AT),
+        ("O3_skey", "C0_skey", None, AT, AT),
+        ("O4_skey", "C0_skey", "Delivered", None, AT),
+        ("O5_skey", "C0_skey", "Delivered", dt.datetime(1999, 1, 1), AT),
+        ("O6_skey", "C9_skey", "Delivered", AT, AT),
+        ("O7_skey", "C9_skey", "Delivered", None, AT),
+    ]
+    lines = [(f"O{i}_skey", "P1_skey", "S1_skey", 1, 2.0, 0.5) for i in range(9)]
+    lines += [("O1_skey", "P9_skey", "S1_skey", 1, 2.0, 0.5), ("O1_skey", "P1_skey", "S9_skey", 1, 2.0, 0.5), (None, None, None, 1, None, None)]
+    star = (
+        calendar(spark),
+        customers(spark),
+        orders(spark, heads),
+        products(spark, [("P1_skey", "S1_skey", "toys")]),
+        items(spark, lines),
+    )
+    checked = checked_sales(*star, AS_OF)
+    sales = checked.filter("lost_at IS NULL").drop("lost_at")
+    assert rows(sales) == rows(fact_sales(*star, AS_OF)) and sales.count() == 1
+    lost = sorted((r.order_skey or "", r.product_skey or "", r.seller_skey or "", r.lost_at) for r in lost_sales(checked).collect())
+    assert len(lost) + 1 == len(lines)
+    assert lost == sorted([
+        ("", "", "", "order"),
+        ("O0_skey", "P1_skey", "S1_skey", "order"),
+        ("O1_skey", "P1_skey", "S9_skey", "product"),
+        ("O1_skey", "P9_skey", "S1_skey", "product"),
+        ("O2_skey", "P1_skey", "S1_skey", "status"),
+        ("O3_skey", "P1_skey", "S1_skey", "status"),
+        ("O4_skey", "P1_skey", "S1_skey", "date"),
+        ("O5_skey", "P1_skey", "S1_skey", "date"),
+        ("O6_skey", "P1_skey", "S1_skey", "customer"),
+        ("O7_skey", "P1_skey", "S1_skey", "date"),
+        ("O8_skey", "P1_skey", "S1_skey", "order"),
+    ])
+    # By product alone, the item of another seller is sold too.
+    loose = checked_sales(*star, AS_OF, match_seller=False)
+    assert rows(loose.filter("lost_at IS NULL").drop("lost_at")) == rows(fact_sales(*star, AS_OF, match_seller=False))

@@ -2,16 +2,24 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from conftest import final_plan, rows
 from pyspark.sql import functions as F
 
 from lakestar.functions import in_range
 from lakestar.operators.quality import (
+    COPY,
+    NULL_KEY,
+    OUT_OF_RANGE,
+    SUPERSEDED,
     dedupe_by_key,
     invalid_rows,
     key_groups,
     quality_counts,
+    reason_names,
     require_not_null,
+    verdict_totals,
+    verdicts,
 )
 
 SCHEMA = "id string, part string, score string, load_date string"
@@ -125,3 +133,66 @@ def test_invalid_rows_takes_one_shuffle(spark):
     plan = final_plan(invalid_rows(df, df.filter("score = '1'")))
     assert plan.count("Exchange hashpartitioning") == 1
     assert "Join" not in plan
+
+
+def judged(data, accept=None):
+    """Brute force: (row, reasons, number of rows) of every distinct row."""
+    top, out = {row[:2]: row for row in kept(data) if None not in row[:2]}, []
+    for row in set(data):
+        n, why = data.count(row), 0
+        if None in row[:2]:
+            why = NULL_KEY
+        elif top[row[:2]] != row:
+            why = SUPERSEDED
+        if accept and not accept(row):
+            why += OUT_OF_RANGE
+        out += [(*row, why, n)] if why else [(*row, 0, 1)] + [(*row, COPY, n - 1)] * (n > 1)
+    return nullable_sort(out)
+
+
+def test_verdicts_against_brute_force(spark):
+    between = lambda row: row[2] in ("1", "3", "5")
+    for seed in range(3):
+        data = random_rows(seed)
+        data += data[:40]
+        df = spark.createDataFrame(data, SCHEMA).repartition(7)
+        assert rows(verdicts(df, ["id", "part"], ["id", "part"])) == judged(data)
+        got = verdicts(df, ["id", "part"], ["id", "part"], in_range(F.col("score"), 1, 5))
+        assert rows(got) == judged(data, between)
+        expected = quality_counts(df, ["id", "part"], ["id", "part"], in_range(F.col("score"), 1, 5))
+        assert got.agg(*verdict_totals()).collect() == expected.collect()
+
+
+def test_verdicts_of_nullable_keys_copies_and_nothing(spark):
+    df = spark.createDataFrame([("a", None), ("a", None), ("a", "x"), (None, "x")], "id string, part string")
+    assert rows(verdicts(df, ["id", "part"], ["id"])) == [
+        (None, "x", NULL_KEY, 1), ("a", None, 0, 1), ("a", None, COPY, 1), ("a", "x", 0, 1),
+    ]
+    assert verdicts(df.filter("false"), ["id", "part"], ["id"]).count() == 0
+    assert verdicts(df.filter("false"), ["id"], ["id"]).agg(*verdict_totals()).first() == (0, 0, 0, 0)
+    with pytest.raises(ValueError, match="outside the key"):
+        verdicts(df, ["id"], ["part"])
+
+
+def test_a_hot_key_is_split_among_tasks(spark, conf):
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__shuffle__partitions="16",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="32k",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64k",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+    )
+    key = F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.col("id").cast("string"))
+    df = spark.range(0, 30000, 1, 8).select(
+        key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"), F.lit("d").alias("load_date")
+    )
+    got = verdicts(df, ["k"], ["k"])
+    assert "skew=true" in final_plan(got)
+    assert got.filter("reasons = 4").count() == 19999
+
+
+def test_reasons_in_words(spark):
+    df = spark.createDataFrame([(0,), (1,), (12,)], "r int")
+    assert [r[0] for r in df.select(reason_names(F.col("r"))).collect()] == [
+        [], ["null key"], ["superseded", "out of range"],
+    ]

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import tempfile
+from dataclasses import replace
 from types import SimpleNamespace
 
 import pytest
@@ -12,8 +13,15 @@ from lakestar.plans.bronze import add_audit
 from lakestar.plans.lakehouse import Lakehouse
 from lakestar.plans.loads import ingest_from_spec
 from lakestar.sources import tables
-from lakestar.sources.audit import LoadAudit, read_audit, reconcile
-from lakestar.sources.feeds import INGEST_SPEC_COLUMNS, INGEST_SPEC_SCHEMA, enabled_specs, read_feed
+from lakestar.sources.audit import LoadAudit, compact_audit, read_audit, reconcile
+from lakestar.sources.feeds import (
+    INGEST_SPEC_COLUMNS,
+    INGEST_SPEC_SCHEMA,
+    enabled_specs,
+    line_counts,
+    read_feed,
+    read_feed_lines,
+)
 from lakestar.specs import INT, STRING, TableSpec, struct
 
 AS_OF = dt.date(2024, 2, 1)
@@ -272,3 +280,211 @@ def test_silver_keeps_its_scope_and_few_snapshots(spark, tmp_path):
     assert lake.silver("Sellers").count() == 1
     folder = next(tmp_path.glob("lake/silver/*"))
     assert len(list(folder.glob("snapshot=*"))) == 3
+
+
+def test_a_reload_that_fails_half_way_keeps_the_feed(spark, tmp_path):
+    root = str(tmp_path / "bronze" / "feed")
+    tables.write_full_reload(frame(spark, [("a", "p", 1), ("b", "q", 2)]), root, ["part"])
+    half = spark.range(0, 100, 1, 4).select(
+        F.col("id").cast("string").alias("id"),
+        F.lit("p").alias("part"),
+        F.when(F.col("id") < 90, 1).otherwise(F.raise_error(F.lit("no more"))).cast("int").alias("seq"),
+    )
+    with pytest.raises(Exception, match="no more"):
+        tables.write_full_reload(half, root, ["part"])
+    assert rows(tables.read_table(spark, root, SPEC.schema)) == [("a", "p", 1), ("b", "q", 2)]
+    assert not any((tmp_path / "bronze" / "_reload").iterdir())
+    tables.write_full_reload(frame(spark, [("c", "r", 3)]), root, ["part"])
+    assert rows(tables.read_table(spark, root, SPEC.schema)) == [("c", "r", 3)]
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_a_reload_replaces_every_partition_in_any_session(spark, conf, tmp_path, mode):
+    conf(spark__sql__sources__partitionOverwriteMode=mode)
+    root = str(tmp_path / "feed")
+    for day in ("monday", "tuesday"):
+        tables.write_full_reload(frame(spark, [(str(i), day, i) for i in range(10)]), root, ["part"])
+        got = tables.read_table(spark, root, SPEC.schema)
+        assert got.count() == 10 and {r.part for r in got.collect()} == {day}
+
+
+def test_a_reload_that_died_between_its_moves_is_settled(spark, tmp_path):
+    root = str(tmp_path / "feed")
+    tables.write_full_reload(frame(spark, [("a", "p", 1)]), root, ["part"])
+    (tmp_path / "_replaced").mkdir(exist_ok=True)
+    (tmp_path / "feed").rename(tmp_path / "_replaced" / "feed")  # as a driver that dies leaves it
+    tables.settle_reload(spark, root)
+    assert rows(tables.read_table(spark, root, SPEC.schema)) == [("a", "p", 1)]
+    (tmp_path / "feed").rename(tmp_path / "_replaced" / "feed")
+    tables.write_full_reload(frame(spark, [("b", "p", 1)]), root, ["part"])
+    tables.settle_reload(spark, root)
+    assert rows(tables.read_table(spark, root, SPEC.schema)) == [("b", "p", 1)]
+
+
+def test_a_table_that_cannot_be_moved_stays(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "feed")
+    tables.write_full_reload(frame(spark, [("a", "p", 1)]), root, ["part"])
+    moves, move = [], tables._move
+
+    def second_fails(spark, source, target):
+        moves.append(target)
+        if len(moves) == 2:
+            raise OSError("no space")
+        move(spark, source, target)
+
+    monkeypatch.setattr(tables, "_move", second_fails)
+    with pytest.raises(OSError, match="no space"):
+        tables.write_full_reload(frame(spark, [("b", "p", 1)]), root, ["part"])
+    assert rows(tables.read_table(spark, root, SPEC.schema)) == [("a", "p", 1)]
+
+
+BUCKETED = replace(SPEC, partition_by=(), buckets=8, bucket_by=("id",))
+
+
+def files(folder):
+    return {str(p): p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+
+
+def test_only_buckets_of_the_batch_are_written(spark, tmp_path):
+    root = tmp_path / "t"
+    tables.merge_partitions(spark, str(root), BUCKETED, frame(spark, [(str(i), f"p{i % 3}", 1) for i in range(100)]))
+    assert len(list(root.glob("bucket_of_8=*"))) == 8
+    before = files(root)
+    # The partition column is data here: a key that changes it stays one row.
+    tables.merge_partitions(spark, str(root), BUCKETED, frame(spark, [("7", "moved", 2), ("7", None, 1)]))
+    after = files(root)
+    assert len({p.split("bucket_of_8=")[1].split("/")[0] for p in set(before) ^ set(after)}) == 1
+    got = {r.id: (r.part, r.seq) for r in tables.read_table(spark, str(root), SPEC.schema).collect()}
+    assert len(got) == 100 and got["7"] == ("moved", 2) and got["8"] == ("p2", 1)
+
+
+def test_only_buckets_of_the_batch_are_read(spark, tmp_path):
+    root = str(tmp_path / "t")
+    data = frame(spark, [(str(i), None, 1) for i in range(200)])
+    tables.merge_partitions(spark, root, BUCKETED, data)
+    stored = spark.read.parquet(root)
+    batch = tables.bucketed(frame(spark, [("7", None, 2)]), BUCKETED)
+    found = tables.in_partitions_of(stored, batch, BUCKETED.layout)
+    assert "dynamicpruning" in final_plan(found).lower()
+    assert 0 < found.count() < 60
+
+
+def test_another_number_of_buckets_is_refused(spark, tmp_path):
+    root = str(tmp_path / "t")
+    tables.merge_partitions(spark, root, BUCKETED, frame(spark, [("a", "p", 1)]))
+    assert tables.stored_layout(spark, root) == ("bucket_of_8",)
+    for other in (replace(BUCKETED, buckets=16), SPEC):
+        with pytest.raises(ValueError, match="cannot be loaded by"):
+            tables.merge_partitions(spark, root, other, frame(spark, [("b", "p", 1)]))
+    assert tables.table_count(spark, root, SPEC.schema) == 1
+    with pytest.raises(ValueError, match="buckets need columns"):
+        replace(SPEC, buckets=4)
+
+
+def test_a_hot_bucket_is_written_as_several_files(spark, conf, tmp_path):
+    conf(
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="50k",
+        spark__sql__adaptive__coalescePartitions__minPartitionSize="10k",
+    )
+    wide = F.sha2(F.col("id").cast("string"), 512)
+    df = spark.range(0, 30000, 1, 8).select(F.lit("same").alias("id"), wide.alias("part"), F.lit(1).alias("seq"))
+    root = tmp_path / "t"
+    tables.overwrite_partitions(tables.bucketed(df, BUCKETED), str(root), BUCKETED.layout)
+    assert len(list(root.rglob("*.parquet"))) > 5
+
+
+def test_silver_load_by_bucket_leaves_other_buckets_alone(spark, tmp_path):
+    lake = Lakehouse(spark, str(tmp_path / "lake"), AS_OF, 1)
+    head = "seller_id,seller_state,seller_state_code\n"
+    (tmp_path / "1.csv").write_text(head + "".join(f"s{i},rio,RJ\n" for i in range(200)))
+    (tmp_path / "2.csv").write_text(head + "s5,bahia,BA\n")
+    lake.ingest("Sellers", str(tmp_path / "1.csv"))
+    lake.load_silver("Sellers")
+    folder = next(tmp_path.glob("lake/silver/*"))
+    before = files(folder)
+    lake.ingest("Sellers", str(tmp_path / "2.csv"))
+    assert lake.load_silver("Sellers").post_count == 200
+    assert len({p.split("bucket_of_")[1].split("/")[0] for p in set(before) ^ set(files(folder))}) == 1
+    assert {r.seller_state for r in lake.silver("Sellers").collect()} == {"Rio", "Bahia"}
+    with pytest.raises(ValueError, match="cannot be loaded by"):
+        lake.load_silver("Sellers", "partition")
+    with pytest.raises(ValueError, match="unknown load scope"):
+        lake.load_silver("Sellers", "none")
+
+
+def test_dimension_load_leaves_buckets_without_a_change_alone(spark, tmp_path):
+    head = "seller_id,seller_state,seller_state_code\n"
+    folder = tmp_path / "lake" / "gold" / "dim_sellers"
+    seen = []
+    for day, text in enumerate(["".join(f"s{i},rio,RJ\n" for i in range(200)), "s5,bahia,BA\n", "s5,bahia,BA\n"]):
+        (tmp_path / "feed.csv").write_text(head + text)
+        lake = Lakehouse(spark, str(tmp_path / "lake"), AS_OF + dt.timedelta(days=day), day)
+        lake.ingest("Sellers", str(tmp_path / "feed.csv"))
+        lake.load_silver("Sellers")
+        lake.load_dimension("Sellers")
+        seen.append(files(folder))
+    changed = {p.split("dim_sellers/")[1].rpartition("/")[0] for p in set(seen[0]) ^ set(seen[1])}
+    assert len(changed) == 2  # the bucket of s5 among the open rows, and the day that closed
+    assert "is_current=0/eff_end_dt=2024-02-01/bucket_of_16=-1" in changed
+    assert seen[1] == seen[2]  # a day without changes writes nothing
+    got = lake.dimension("Sellers")
+    assert got.count() == 201 and got.filter("seller_id = 'S5'").count() == 2
+
+
+def test_broken_lines_are_kept_with_their_file(spark, tmp_path):
+    (tmp_path / "1.csv").write_text('a|b|c\n1||x\n2|"q|r"|y\n3\n4|5|6|7\n')
+    (tmp_path / "2.csv").write_text("a|b|c\n5|6|7\n")
+    (tmp_path / "3.csv").write_text("a|b|c\n")
+    lines = read_feed_lines(spark, str(tmp_path), ["a", "b", "c"], "|")
+    assert rows(lines.drop("file")) == [
+        ("1", None, "x", None), ("2", "q|r", "y", None), ("3", None, None, "3"), ("4", "5", "6", "4|5|6|7"), ("5", "6", "7", None),
+    ]
+    # A selection of columns does not change which lines are broken.
+    assert rows(lines.filter("broken_line IS NOT NULL").select("a", "broken_line")) == [("3", "3"), ("4", "4|5|6|7")]
+    counts = {r.file.rsplit("/", 1)[1]: (r.n_lines, r.n_broken) for r in line_counts(lines).collect()}
+    assert counts == {"1.csv": (4, 2), "2.csv": (1, 0)}
+
+
+def test_the_log_is_read_by_day_and_compacted(spark, tmp_path, monkeypatch):
+    path, days = str(tmp_path / "audit"), [dt.date(2024, 1, d) for d in (1, 2, 3)]
+
+    class Clock(dt.datetime):
+        day = days[0]
+
+        @classmethod
+        def now(cls, tz=None):
+            return cls(cls.day.year, cls.day.month, cls.day.day, 12, tzinfo=tz)
+
+    monkeypatch.setattr("lakestar.sources.audit.dt.datetime", Clock)
+    audit = LoadAudit(spark, path, 7, "daily", "shop")
+    for Clock.day in days:
+        for table in ("one", "two"):
+            with audit.load("App", table, 1) as outcome:
+                outcome.row_count = 2
+    whole = rows(reconcile(read_audit(spark, path)))
+    assert len(whole) == 6
+    some = read_audit(spark, path, since=days[1], until=days[1])
+    assert some.count() == 4 and "logged_on" in final_plan(some).split("PartitionFilters: [")[1].split("]")[0]
+    folder = tmp_path / "audit"
+    last = files(folder / "logged_on=2024-01-03")
+    assert compact_audit(spark, path, before=days[2]) == days[:2]
+    assert [len(files(folder / f"logged_on={d}")) for d in days] == [1, 1, 4]
+    assert files(folder / "logged_on=2024-01-03") == last
+    assert rows(reconcile(read_audit(spark, path))) == whole
+    assert compact_audit(spark, path, before=days[2]) == [] == compact_audit(spark, str(tmp_path / "none"), days[0])
+
+
+def test_what_a_load_does_not_keep_is_stored_with_reasons(spark, tmp_path):
+    lake = Lakehouse(spark, str(tmp_path / "lake"), AS_OF, 1)
+    head = "seller_id,seller_state,seller_state_code\n"
+    (tmp_path / "1.csv").write_text(head + "s1,rio,RJ\ns1,rio,RJ\ns1,bahia,BA\n,rio,RJ\ns2,,\n")
+    lake.ingest("Sellers", str(tmp_path / "1.csv"))
+    for _ in range(2):  # running the job again replaces what it stored
+        result = lake.load_silver("Sellers")
+        found = [(r.seller_id, r.seller_state, r.reasons, r.n_rows, r.job_id) for r in lake.rejected("Sellers").collect()]
+        assert sorted(found, key=str) == [("s1", "bahia", 4, 1, 1), ("s1", "rio", 2, 1, 1), (None, "rio", 1, 1, 1)]
+        assert (result.total, result.valid, result.invalid_distinct, result.invalid_total) == (5, 2, 2, 3)
+    (tmp_path / "2.csv").write_text(head + "s1,rio,RJ\n")
+    lake.ingest("Sellers", str(tmp_path / "2.csv"))
+    assert lake.load_silver("Sellers").invalid_total == 0
+    assert lake.rejected("Sellers").count() == 0
