@@ -1,10 +1,12 @@
 """Token ids of whole texts, from a tokenizer file of the tokenizers library.
 
-A plain byte-level BPE is run by tiktoken, which gets its vocabulary and split pattern from that file, gives
-the same ids in a third of the time, and is compared with the tokenizers library on the first texts of
-every worker. Any other tokenizer is run by the tokenizers library. Those used here never let a token
-span a change from visible text to a space or line end, so a text is cut there and each distinct piece
-is encoded once per worker. The pieces kept are bounded.
+A plain byte-level BPE is run by tiktoken, which gets its vocabulary and split pattern from that file and
+gives the same ids in a third of the time. tiktoken merges by rank and knows no list of merges, so the file is
+checked first: that its merges come in order of their ids, and that merging any token's own bytes by rank ends
+with the very pair the list has for it. Any other tokenizer is run by the tokenizers library. Those used here
+never let a token span a change from visible text to a space or line end, so a text is cut there and each
+distinct piece is encoded once per worker. The pieces kept are bounded. A text that spells out one of the added
+tokens is given to the tokenizers library whole, which gives that token's id.
 """
 
 from __future__ import annotations
@@ -20,7 +22,6 @@ import tiktoken
 
 END_ID = 2
 KEPT_PIECES = 300_000
-PROBED_TEXTS = 20  # encoded by both libraries
 
 # Fixed value: how a byte-level tokenizer splits text before merging.
 BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -58,10 +59,38 @@ def _quick(path: str):
     byte_of = {chr(b): b for b in shown}
     byte_of |= {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(shown))}
     special = {token["content"] for token in spec.get("added_tokens", ())}
-    ranks = {bytes(map(byte_of.__getitem__, t)): i for t, i in model["vocab"].items() if t not in special}
+
+    def raw(token: str) -> bytes:
+        return bytes(map(byte_of.__getitem__, token))
+
+    ranks = {raw(t): i for t, i in model["vocab"].items() if t not in special}
+    pairs = [tuple(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+    if not merges_by_rank(ranks, [(raw(a), raw(b)) for a, b in pairs]):
+        return None
     return tiktoken.Encoding(path, pat_str=BYTE_LEVEL_SPLIT, mergeable_ranks=ranks, special_tokens={})
 
 
+def merges_by_rank(ranks: dict[bytes, int], merges: Sequence[tuple[bytes, bytes]]) -> bool:
+    """Whether merging the pair of least rank again and again does what the list of merges says."""
+    made = [ranks.get(a + b, -1) for a, b in merges]
+    in_order = all(a < b for a, b in zip([-1, *made], made, strict=False))
+    if not in_order or len(ranks) != len(merges) + 256 or any(bytes([b]) not in ranks for b in range(256)):
+        return False
+    never = len(ranks) + max(ranks.values())
+    for pair in merges:
+        token = b"".join(pair)
+        parts = [token[i : i + 1] for i in range(len(token))]
+        while len(parts) > 2:
+            found = [ranks.get(a + b, never) for a, b in zip(parts, parts[1:], strict=False)]
+            at = min(range(len(found)), key=found.__getitem__)
+            if found[at] >= ranks[token]:
+                return False
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        if tuple(parts) != pair:
+            return False
+    return True
+
+
 class Encoder:
     """``folds`` says that the tokenizer lower-cases and drops white space, so that pieces may lose
     both before they are looked up."""
@@ -73,12 +102,12 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        # Special tokens that are spelled out in a document are ordinary text.
-        self.tokenizer.encode_special_tokens = True
         if hasattr(self.tokenizer.model, "_resize_cache"):
             self.tokenizer.model._resize_cache(0)  # every piece comes once; its own cache only costs
         self.quick = _quick(path)
-        self.unchecked = PROBED_TEXTS
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        either_case = re.I if any(token.normalized for token in added) else 0
+        self.added = re.compile("|".join(re.escape(token.content) for token in added) or "(?!)", either_case)
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.folds = folds
         # Pieces seen lately, and those of the time before.
@@ -113,16 +142,17 @@ class Encoder:
 
     def encode(self, texts: Sequence[str | None], end: int | None = END_ID) -> list[np.ndarray]:
         """Ids of each text as little-endian unsigned 32-bit numbers; null is empty."""
+        spelled = {i for i, text in enumerate(texts) if text and self.added.search(text)}
+        if spelled:
+            plain = self.encode(["" if i in spelled else text for i, text in enumerate(texts)], end)
+            for i in spelled:
+                ids = self.tokenizer.encode(texts[i], add_special_tokens=False).ids
+                plain[i] = np.array([*ids, *([] if end is None else [end])], "<u4")
+            return plain
         if self.quick is not None:
-            got = [self.quick.encode_to_numpy(text or "") for text in texts]
-            for text, ids in zip(texts[: self.unchecked], got, strict=False):
-                self.unchecked -= 1
-                if self.tokenizer.encode(text or "", add_special_tokens=False).ids != ids.tolist():
-                    self.quick = None
-                    break
-            if self.quick is not None:
-                tail = np.array([] if end is None else [end], "<u4")
-                return [np.concatenate([ids.astype("<u4", copy=False), tail]) for ids in got]
+            tail = np.array([] if end is None else [end], "<u4")
+            got = (self.quick.encode_to_numpy(text or "") for text in texts)
+            return [np.concatenate([ids.astype("<u4", copy=False), tail]) for ids in got]
         if len(self.known) > KEPT_PIECES:
             self.older, self.known = self.known, {}
         cut = [self._cut(text) for text in texts]

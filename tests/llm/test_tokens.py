@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 from lakestar.llm.packing import pack, plan_packing
 from lakestar.llm.pfor import BLOCK, Segment, encode_segment
 from lakestar.llm.token_files import read_token_files, write_token_files
-from lakestar.llm.tokens import Encoder
+from lakestar.llm.tokens import Encoder, merges_by_rank
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
 WORD = public_tokenizers.path("word_bpe_49k.json")
@@ -30,6 +30,7 @@ TEXTS = [
     "word " * 5000,
     "x" * 3000,
     "\n\n\n",
+    "x <|endoftext|> y<|startoftext|>z <|ENDOFTEXT|> <|endoftext |>",
 ]
 
 
@@ -40,9 +41,7 @@ def docs(spark, texts=TEXTS, ids=None):
 
 @cache
 def loaded(path):
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(path)
 
 
 def plain(path, text):
@@ -66,6 +65,16 @@ def test_pieces_give_the_ids_of_the_whole_text(path):
         assert [list(x) for x in encoder.encode(TEXTS)] == [plain(path, t) for t in TEXTS]
 
 
+def test_ranks_that_do_not_follow_the_merges_are_told_apart():
+    one = {bytes([b]): b for b in range(256)}
+    merges = [(b"a", b"b"), (b"b", b"c"), (b"ab", b"c")]
+    assert merges_by_rank({**one, b"ab": 256, b"bc": 257, b"abc": 258}, merges)
+    assert not merges_by_rank({**one, b"ab": 257, b"bc": 256, b"abc": 258}, merges)  # out of order
+    assert not merges_by_rank({**one, b"ab": 256, b"bc": 257, b"abc": 258, b"x" * 3: 259}, merges)  # without a merge
+    # By rank, a and b would be merged first, and the listed pair would never meet.
+    assert not merges_by_rank({**one, b"ab": 256, b"bc": 257, b"abc": 258}, [*merges[:2], (b"a", b"bc")])
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet=" \n\t\r \x1c'sAéΣ!1", max_size=20))
 def test_any_white_space(text):
