@@ -5,7 +5,7 @@ digest to one cell of each of three tables; a cell keeps the number, the xor of
 of their checks. Sketches of two versions are subtracted cell by cell, which cancels what they share.
 Cells left with a single digest give it away; taking it out of its other cells frees more, and so on
 until nothing is left: the paragraphs that differ are then all recovered. When that gets stuck, the
-sketches are made again four times as large. The fingerprint is the sketch of the smallest size.
+sketches are made again larger. The fingerprint is the sketch of the smallest size.
 
 A large sketch is made of independent ones, each for the digests of one slice of the hash range, as
 many as the numbers of paragraphs ask for, so that the work grows with the length of the texts.
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .common import staged
 
 CELLS = 8  # of each of the three tables, at the smallest size
-SIZES = (8, 32, 128)  # tried one after the other for a slice
+SIZES = (8, 16, 32, 128)  # tried one after the other for a slice
 PER_SLICE = 12  # paragraphs of both texts together; edits share most of them and take twice as many
 ROUNDS = 6  # of peeling; what needs more counts as stuck
 SHIFTS = (0, 14, 28)  # bits of a digest that choose its cell in each table
@@ -38,13 +38,6 @@ def digests(text: str) -> str:
     return f"array_distinct(transform(regexp_extract_all({text}, '{PARAGRAPH}', 0), p -> xxhash64(p)))"
 
 
-def _places(digest: str, size: int) -> str:
-    """SQL fields i0, i1, i2: the digest's cell in each table, counted through all three."""
-    return ", ".join(
-        f"'i{t}', cast(shiftright({digest}, {shift}) & {size - 1}L AS int) + {t * size}" for t, shift in enumerate(SHIFTS)
-    )
-
-
 def sketch(found: str, size: int) -> str:
     """SQL for the cells of a digest array: three tables of ``size`` cells."""
     tables = [
@@ -63,32 +56,38 @@ def _subtract(a: str, b: str) -> str:
 _NONE = "cast(array() AS array<struct<n: int, k: bigint>>)"
 
 
+def _peeling(cells: str, size: int, kept: str, add: str) -> str:
+    """SQL that peels a difference of sketches: what ``add`` makes of the digests ``pure`` found in a round is
+    gathered, from ``kept`` on; null if it got stuck. Once a round finds nothing, later ones do no work."""
+    pure = """array_distinct(filter(s.cells, x -> abs(x.n) = 1 AND x.c = xxhash64(x.k)))"""
+    tables = [
+        f"""transform(sequence(0, {size - 1}), j -> aggregate(
+            filter(pure, q -> (shiftright(q.k, {shift}) & {size - 1}L) = j), s.cells[j + {t * size}],
+            (x, q) -> named_struct('n', x.n - q.n, 'k', x.k ^ q.k, 'c', x.c ^ q.c)))"""
+        for t, shift in enumerate(SHIFTS)
+    ]
+    taken = f"concat({', '.join(tables)})"
+    step = f"""transform(array({pure}), pure -> IF(size(pure) = 0,
+        named_struct('cells', s.cells, 'found', s.found, 'on', false),
+        named_struct('cells', {taken}, 'found', {add}, 'on', true)))[0]"""
+    return f"""aggregate(sequence(1, {ROUNDS}), named_struct('cells', {cells}, 'found', {kept}, 'on', true),
+        (s, i) -> IF(s.on, {step}, s),
+        s -> IF(forall(s.cells, x -> x.n = 0 AND x.k = 0 AND x.c = 0), s.found, NULL))"""
+
+
 def peeled(cells: str, size: int) -> str:
     """SQL for the digests recovered from a difference of sketches, or null if it got stuck: structs of n,
     1 for the first sketch's and -1 for the second's, and the digest k."""
-    pure = f"""array_distinct(transform(filter(s.cells, x -> abs(x.n) = 1 AND x.c = xxhash64(x.k)),
-        x -> named_struct('n', x.n, 'k', x.k, 'c', x.c, {_places('x.k', size)})))"""
-    taken = """aggregate(pure, s.cells, (cells, q) -> transform(cells, (x, j) -> IF(
-        j = q.i0 OR j = q.i1 OR j = q.i2, named_struct('n', x.n - q.n, 'k', x.k ^ q.k, 'c', x.c ^ q.c), x)))"""
-    step = f"""transform(array({pure}), pure -> IF(size(pure) = 0, s,
-        named_struct('cells', {taken}, 'found', concat(s.found, transform(pure, q -> named_struct('n', q.n, 'k', q.k))))))[0]"""
-    return f"""aggregate(sequence(1, {ROUNDS}), named_struct('cells', {cells}, 'found', {_NONE}), (s, i) -> {step},
-        s -> IF(forall(s.cells, x -> x.n = 0 AND x.k = 0 AND x.c = 0), s.found, NULL))"""
+    return _peeling(cells, size, _NONE, "concat(s.found, transform(pure, q -> named_struct('n', q.n, 'k', q.k)))")
 
 
 def peel(cells: str, size: int) -> str:
     """SQL for the number of digests recovered from a difference of sketches, or null if it got stuck."""
-    return f"array_size({peeled(cells, size)})"
+    return _peeling(cells, size, "0", "s.found + size(pure)")
 
 
-def differing(a: str, b: str, sizes=SIZES, share: int = 1) -> str:
-    """SQL for the number of digests that differ, or null if a slice got stuck at every size."""
-    return f"array_size({recovered(a, b, sizes, share)})"
-
-
-def recovered(a: str, b: str, sizes=SIZES, share: int = 1) -> str:
-    """SQL for the digests that differ, as ``peeled`` gives them, recovered slice by slice; null if a
-    slice got stuck at every size."""
+def _by_slice(a: str, b: str, sizes, share: int, peel_one) -> str:
+    """SQL for an array of what ``peel_one`` gives for each slice, null where it got stuck at every size."""
     bits = f"greatest(0, cast(ceil(log2((size({a}) + size({b}) + 1) / {share * PER_SLICE}.0D)) AS int))"
     # Cut twice, each time by about the root of the number of slices.
     masks = "'m', shiftleft(1L, cast(k DIV 2 AS int)) - 1L, 'r', shiftleft(1L, cast(k - k DIV 2 AS int)) - 1L"
@@ -100,13 +99,36 @@ def recovered(a: str, b: str, sizes=SIZES, share: int = 1) -> str:
     parts = f"""transform(array({bits}), k -> transform(array(named_struct({masks})), p -> flatten(transform(
         transform(sequence(0L, p.m), h -> {cut(a, b, SLICE_SHIFT, 'p.m', 'h')}),
         w -> transform(sequence(0L, p.r), g -> {cut('w.a', 'w.b', SLICE_SHIFT + 10, 'p.r', 'g')}))))[0])[0]"""
-    tried = [peeled(_subtract(sketch("t.a", size), sketch("t.b", size)), size) for size in sizes]
-    return f"flatten(transform({parts}, t -> coalesce({', '.join(tried)})))"
+    tried = [peel_one(_subtract(sketch("t.a", size), sketch("t.b", size)), size) for size in sizes]
+    return f"transform({parts}, t -> coalesce({', '.join(tried)}))"
+
+
+def differing(a: str, b: str, sizes=SIZES, share: int = 1) -> str:
+    """SQL for the number of digests that differ, or null if a slice got stuck at every size."""
+    return f"aggregate({_by_slice(a, b, sizes, share, peel)}, 0, (n, x) -> n + x)"
+
+
+def recovered(a: str, b: str, sizes=SIZES, share: int = 1) -> str:
+    """SQL for the digests that differ, as ``peeled`` gives them, recovered slice by slice; null if a
+    slice got stuck at every size."""
+    return f"flatten({_by_slice(a, b, sizes, share, peeled)})"
 
 
 def _text(cells: str):
-    """A sketch as text: number and xor of each cell, in hexadecimal."""
-    return F.expr(f"array_join(transform({cells}, x -> concat(hex(x.n), ':', hex(x.k))), ' ')")
+    """A sketch as text: number, xor of the digests and xor of the checks of each cell, in hexadecimal."""
+    return F.expr(f"array_join(transform({cells}, x -> concat(hex(x.n), ':', hex(x.k), ':', hex(x.c))), ' ')")
+
+
+def cells_of(fingerprint: str) -> str:
+    """SQL for the cells of a fingerprint, which can be subtracted from another's and peeled."""
+    number = "cast(conv(p[{}], 16, -10) AS bigint)"
+    return f"""transform(transform(split({fingerprint}, ' '), x -> split(x, ':')), p -> named_struct(
+        'n', cast({number.format(0)} AS int), 'k', {number.format(1)}, 'c', {number.format(2)}))"""
+
+
+def apart(a: str, b: str) -> str:
+    """SQL for the digests that two fingerprints differ by, or null if they are too many for their size."""
+    return peeled(_subtract(cells_of(a), cells_of(b)), CELLS)
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -142,7 +164,7 @@ def with_next(docs: DataFrame) -> DataFrame:
         .dropDuplicates(["key", "sha", "target"])
         .select("doc_id", "text", "key", F.col("target").alias("range"), F.lit(0).alias("own"))
     )
-    dealt = rows.withColumn("own", F.lit(1)).unionByName(carriers).repartition(n, "range")
+    dealt = rows.withColumn("own", F.lit(1)).unionByName(carriers).repartitionById(n, F.col("range"))
     dealt = dealt.withColumn("digests", F.expr(digests("text")))
     inside = Window.partitionBy("range").orderBy("own", "key", "text")
     before = [F.lag(c).over(inside).alias(f"next_{c}") for c in ("text", "digests")]

@@ -99,6 +99,17 @@ def test_recovered_digests_are_those_that_differ(spark):
         assert len(r.got) == len(expected) and {tuple(g) for g in r.got} == expected
 
 
+def test_fingerprints_can_be_subtracted_and_peeled(spark):
+    texts = ["One. Two. Three. Four.", "One. Two. Tree. Four.", "", "a. " + "b" * 90 + ". c."]
+    rows = fingerprint(frame(spark, list(enumerate(texts)))).select("doc_id", "fingerprint")
+    got = rows.crossJoin(rows.toDF("other", "of")).withColumn("apart", F.expr(module.apart("fingerprint", "of"))).collect()
+    hashes = {t: spark.range(1).select(F.xxhash64(F.lit(t))).first()[0] for text in texts for t in _PARAGRAPH.findall(text)}
+    for r in got:
+        a, b = (set(_PARAGRAPH.findall(texts[d])) for d in (r.doc_id, r.other))
+        expected = [(1, hashes[t]) for t in a - b] + [(-1, hashes[t]) for t in b - a]
+        assert sorted((x.n, x.k) for x in r.apart) == sorted(expected)
+
+
 def test_few_rows_and_none(spark):
     same(run(frame(spark, [(4, "Only. One.")])), plain([(4, "Only. One.")]))
     same(run(frame(spark, [(4, "Same."), (4, "Same.")])), plain([(4, "Same."), (4, "Same.")]))
