@@ -6,7 +6,7 @@ search may jump, so most words of a document are never looked at; where the shif
 of that last block, narrowed by the first block, gives the patterns to compare word by word.
 
 The benchmark is cut into blocks of bounded size and documents are searched for one block after the
-other, so neither the driver nor a task ever holds more than one block. Documents are not shuffled.
+other, so that a task holds the search tables of one block, in one worker. Documents are not shuffled.
 """
 
 from __future__ import annotations
@@ -20,10 +20,14 @@ from math import ceil
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
+
+from .common import SLICE_BYTES, slices
 
 WINDOW = 10
 # Characters of benchmark text in a block; the search tables of a block take about 100 times that.
 BLOCK_CHARS = 1_000_000
+MANY_BLOCKS_BYTES = 64_000_000  # of texts searched with one making of every block's tables
 
 # Bytes of UTF-8: every character outside ASCII is made of bytes from 0x80 on.
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -108,38 +112,46 @@ def _either(a: bytes | None, b: bytes | None) -> bytes | None:
     return (int.from_bytes(a) | int.from_bytes(b)).to_bytes(len(a))
 
 
-def _marked(docs: DataFrame, benchmark: DataFrame, window: int, block_chars: int) -> DataFrame:
-    """``docs`` with the columns n_words, hit and items (names made unique by the caller)."""
-    spark = docs.sparkSession
+def _marked(docs: DataFrame, benchmark: DataFrame, window: int, block_chars: int) -> tuple[DataFrame, list[str]]:
+    """``docs`` with the number of words, the marks of those hit and the items found, and the names of these
+    three columns, which are no names of ``docs``.
+
+    A worker searches a batch for one block after the other and keeps the tables of one. A single block's are
+    made once; with more of them, batches are put together, so that making tables costs less than searching.
+    """
+    context = docs.sparkSession.sparkContext
     at, width = docs.columns.index("text"), len(docs.columns)
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in docs.schema)}"
-    schema += ", `#n_words` bigint, `#hit` binary, `#items` array<string>"
-    out = docs
-    for k, items in enumerate(benchmark_blocks(benchmark, block_chars)):
-        sent = spark.sparkContext.broadcast(items)
-
-        def run(batches: Iterator[pa.RecordBatch], k=k, sent=sent) -> Iterator[pa.RecordBatch]:
-            tables = searchers(sent.value, window)
-            for batch in batches:
-                results = [_search_all(text, tables) for text in batch.column(at).to_pylist()]
-                hits = [hit for _, hit, _ in results]
-                found = [items for _, _, items in results]
-                if k:
-                    hits = [_either(a, b) for a, b in zip(hits, batch.column(width + 1).to_pylist(), strict=True)]
-                    before = batch.column(width + 2).to_pylist()
-                    found = [sorted({*a, *b}) for a, b in zip(found, before, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *batch.columns[:width],
-                        pa.array([n for n, _, _ in results], pa.int64()),
-                        pa.array(hits, pa.binary()),
-                        pa.array(found, pa.list_(pa.string())),
-                    ],
-                    [*batch.schema.names[:width], "#n_words", "#hit", "#items"],
-                )
-
-        out = out.mapInArrow(run, schema)
-    return out
+    taken = {c.lower() for c in docs.columns}
+    extra = []
+    for name in ("n_words", "hit", "items"):
+        name = f"#{name}"
+        while name.lower() in taken:
+            name += "#"
+        extra.append(name)
+    types = dict(zip(extra, (LongType(), BinaryType(), ArrayType(StringType())), strict=True))
+    schema = StructType([*docs.schema.fields, *[StructField(n, t) for n, t in types.items()]])
+    blocks = [context.broadcast(items) for items in benchmark_blocks(benchmark, block_chars)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only = searchers(blocks[0].value, window) if len(blocks) == 1 else None
+        size = SLICE_BYTES if only is not None else MANY_BLOCKS_BYTES
+        for batch in slices(batches, at, size):
+            texts = batch.column(at).to_pylist()
+            words, hits, found = [0] * len(texts), [None] * len(texts), [set() for _ in texts]
+            for block in blocks:
+                tables = only if only is not None else searchers(block.value, window)
+                for i, text in enumerate(texts):
+                    words[i], hit, items = _search_all(text, tables)
+                    hits[i] = _either(hits[i], hit)
+                    found[i].update(items)
+            more = [
+                pa.array(words, pa.int64()),
+                pa.array(hits, pa.binary()),
+                pa.array([sorted(items) for items in found], pa.list_(pa.string())),
+            ]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], *more], [*batch.schema.names[:width], *extra])
+
+    return docs.mapInArrow(run, schema), extra
 
 
 def find_contamination(
@@ -152,16 +164,16 @@ def find_contamination(
     repeated. Without items nothing is hit.
     """
 
-    marked = _marked(docs.select("doc_id", "text"), benchmark, window, block_chars)
-    ones = F.length(F.col("#hit")) - F.length(F.replace(F.col("#hit").cast("string"), F.lit("\x01"), F.lit("")))
+    marked, (n_words, hit, items) = _marked(docs.select("doc_id", "text"), benchmark, window, block_chars)
+    ones = F.length(F.col(hit)) - F.length(F.replace(F.col(hit).cast("string"), F.lit("\x01"), F.lit("")))
     return marked.select(
         "doc_id",
-        F.col("#n_words").alias("n_words"),
+        F.col(n_words).alias("n_words"),
         F.coalesce(ones.cast("bigint"), F.lit(0).cast("bigint")).alias("n_hit"),
-        F.size("#items").cast("bigint").alias("n_items"),
-        F.sha2(F.concat_ws(",", "#items").cast("binary"), 256).alias("items_sha256"),
-        F.col("#hit").isNotNull().alias("contaminated"),
-        F.col("#items").alias("items"),
+        F.size(items).cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", items).cast("binary"), 256).alias("items_sha256"),
+        F.col(hit).isNotNull().alias("contaminated"),
+        F.col(items).alias("items"),
     )
 
 
@@ -169,5 +181,5 @@ def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS
 ) -> DataFrame:
     """The rows of ``docs`` without any hit word, with all their columns."""
-    marked = _marked(docs, benchmark, window, block_chars)
-    return marked.filter(F.col("#hit").isNull()).select(*[F.col(f"`{c}`") for c in docs.columns])
+    marked, (_, hit, _) = _marked(docs, benchmark, window, block_chars)
+    return marked.filter(F.col(f"`{hit}`").isNull()).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -7,9 +7,11 @@ import random
 import re
 
 import duckdb
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from lakestar.llm.common import slices
 from lakestar.llm.decontaminate import WuManber, drop_contaminated, find_contamination
 from lakestar.llm.queries import ORACLES, QUERIES
 from lakestar.llm.secret_rules import RULES, Rule, trigram_query
@@ -65,6 +67,33 @@ def test_contamination_of_odd_rows_and_in_blocks(spark):
     assert find_contamination(docs.filter("false"), items).count() == 0
 
 
+def test_many_blocks_are_searched_by_one_worker_a_task(spark):
+    items = spark.createDataFrame([(i, f"item number {i} is here") for i in range(20)], "item_id bigint, text string")
+    docs = frame(spark, [(i, f"x item number {i} is here x") for i in range(25)])
+    found = find_contamination(docs, items, block_chars=20)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    got = sorted((r.doc_id, r.n_hit, ",".join(r["items"])) for r in found.collect())
+    assert got == [(i, 5 if i < 20 else 0, str(i) if i < 20 else "") for i in range(25)]
+
+
+def test_columns_of_documents_may_have_the_names_used_inside(spark):
+    docs = frame(spark, [(1, "one two"), (2, "three")]).toDF("doc_id", "text", "#hit", "#ITEMS")
+    items = spark.createDataFrame([(1, "one two")], "item_id bigint, text string")
+    kept = drop_contaminated(docs, items)
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [2]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.none() | st.text("aé", max_size=30), max_size=20), st.integers(1, 40))
+def test_slices_hold_every_row_once_and_few_bytes(texts, size):
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["i", "t"])
+    got = list(slices(iter([batch, batch.slice(3)]), 1, size))
+    assert [i for b in got for i in b.column(0).to_pylist()] == [*range(len(texts)), *range(3, len(texts))]
+    for b in got:
+        sizes = [len((t or "").encode()) for t in b.column(1).to_pylist()]
+        assert sum(sizes) <= 2 * size or max(sizes) > size and sum(sizes) - max(sizes) <= size
+
+
 def plain_spans(text):
     """Every rule on the whole text, without an index."""
     spans = []
