@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import held_out, slices
 
 LABELLED = 12_000
 UNLABELLED = 12_000
@@ -91,7 +91,7 @@ def _described(rows: DataFrame) -> DataFrame:
     """Rows of ``_rows`` (with a label or without) as doc_id, lang, source, numbers, label."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, 1):
             numbers = [describe(t, n) for t, n in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(3), b.column(4), pa.array(numbers, pa.list_(pa.float64())), b.column(5)],
@@ -326,7 +326,7 @@ def score_quality(docs: DataFrame, model: QualityModel, keep: float = KEEP) -> D
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, 1):
             scores = _scores(sent.value, *(b.column(i).to_pylist() for i in (1, 2, 3, 4)))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(5), pa.array(scores, pa.float64())], ["doc_id", "held_out", "score"]
@@ -349,6 +349,7 @@ def keep_good(docs: DataFrame, model: QualityModel, keep: float = KEEP) -> DataF
     """The rows of ``docs`` that score at least ``keep``, with all their columns."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
+    at = names.index("text")
 
     def column(batch: pa.RecordBatch, name: str, kind) -> list:
         if name not in names:
@@ -356,7 +357,7 @@ def keep_good(docs: DataFrame, model: QualityModel, keep: float = KEEP) -> DataF
         return batch.column(names.index(name)).cast(kind).to_pylist()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, at):
             kinds = {"text": pa.string(), "n_chars": pa.int64(), "lang": pa.string(), "source": pa.string()}
             scores = _scores(sent.value, *(column(b, n, t) for n, t in kinds.items()))
             yield b.filter(pa.array(scores >= keep))

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import slices
 from .secret_rules import BASE, RULES, Query, Rule, trigram_query, trigrams
 
 SEGMENT_BYTES = 4_000_000
@@ -35,9 +36,9 @@ class Scanner:
         self.patterns = [re.compile(rule.pattern, rule.flags) for rule in rules]
         grams = sorted(set().union(*map(trigrams, self.queries)))
         self.grams = {g: i for i, g in enumerate(grams)}
-        self.wanted = np.full(1 << 24, -1, dtype=np.int16)
-        for gram, i in self.grams.items():
-            self.wanted[_code(gram.encode("ascii"))] = i
+        self.codes = np.array([_code(g.encode("ascii")) for g in grams], np.int32)  # ascending, as the grams
+        self.begins = np.zeros(1 << 16, bool)  # the first two bytes of a wanted trigram
+        self.begins[self.codes >> 8] = True
 
     def postings(self, texts: Sequence[str]) -> list[np.ndarray]:
         """For each wanted trigram the sorted positions of the texts that hold it."""
@@ -45,12 +46,14 @@ class Scanner:
         ends = np.cumsum([len(r) + 1 for r in raw])
         # The separator is in no trigram of a rule, so none spans two texts.
         data = np.frombuffer(b"\x00".join(raw) + b"\x00\x00\x00", dtype=np.uint8)
-        codes = data[:-2].astype(np.int32) << 16
-        codes |= data[1:-1].astype(np.int32) << 8
-        codes |= data[2:]
-        gram = self.wanted[codes]
-        at = np.flatnonzero(gram >= 0)
-        pairs = np.unique(gram[at].astype(np.int64) << 32 | np.searchsorted(ends, at, side="right"))
+        first = data[:-2].astype(np.uint16) << np.uint16(8)
+        first |= data[1:-1]
+        at = np.flatnonzero(self.begins[first])
+        codes = first[at].astype(np.int32) << 8 | data[at + 2]
+        gram = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1) if len(self.codes) else codes
+        held = self.codes[gram] == codes if len(self.codes) else np.zeros(len(codes), bool)
+        at, gram = at[held], gram[held]
+        pairs = np.unique(gram.astype(np.int64) << 32 | np.searchsorted(ends, at, side="right"))
         grams, rows = pairs >> 32, pairs & 0xFFFFFFFF
         bounds = np.searchsorted(grams, np.arange(len(self.grams) + 1))
         return [rows[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
@@ -114,7 +117,7 @@ def scan_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(rules)
-        for batch in batches:
+        for batch in slices(batches, 1, SEGMENT_BYTES):
             out: dict[str, list] = {"n_assign": [], "n_access": [], "n_hex": [], "base_sha256": [], "spans": []}
             for _, texts in segments(batch.column(1).to_pylist()):
                 for found in scanner.scan(texts):
@@ -151,7 +154,7 @@ def redact_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES, mark: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(rules)
-        for batch in batches:
+        for batch in slices(batches, at, SEGMENT_BYTES):
             texts = batch.column(at).to_pylist()
             for first, run_texts in segments(texts):
                 for i, spans in enumerate(scanner.scan(run_texts), first):
