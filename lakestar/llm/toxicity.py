@@ -22,12 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, staged
+from .common import held_out, slices, staged
 
 POSITIVES = 6_000
 UNLABELLED = 12_000
 FEATURES = 512
 THRESHOLD = 0.7
+TELLING = 4.0
+LEAST_PRIOR = 1e-3
 KEPT_WORDS = 200_000
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -72,7 +74,7 @@ def _telling_features(sample: DataFrame, n_pos: int, n_unl: int, limit: int) ->
                 c.clear()
             return pa.RecordBatch.from_arrays(out, ["feature", "in_pos", "in_unl"])
 
-        for batch in batches:
+        for batch in slices(batches, 1):
             for positive, text in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
                 seen[positive].update(_text_features(text))
                 if len(seen[0]) + len(seen[1]) > KEPT_WORDS:
@@ -84,7 +86,7 @@ def _telling_features(sample: DataFrame, n_pos: int, n_unl: int, limit: int) ->
     share = (F.col("p") + F.col("u")) / F.lit(n_pos + n_unl)
     spread = F.sqrt(share * (1 - share) * F.lit(1 / n_pos + 1 / n_unl) + 1e-9)
     z = (F.col("p") / n_pos - F.col("u") / n_unl) / spread
-    best = counts.filter("p > 1").select("feature", z.alias("z")).filter("z > 4")
+    best = counts.filter("p > 1").select("feature", z.alias("z")).filter(F.col("z") > TELLING)
     return [row.feature for row in best.orderBy(F.desc("z"), "feature").limit(limit).collect()]
 
 
@@ -148,12 +150,20 @@ def train_toxicity(
     positives: int = POSITIVES,
     unlabelled: int = UNLABELLED,
     features: int = FEATURES,
+    prior: float | None = None,
 ) -> ToxicityModel:
-    """Without a confirmed toxic text, or with nothing that tells them apart, every score is the prior."""
+    """``prior`` is the share of toxic documents; by default that among the labels learned from, kept
+    ``LEAST_PRIOR`` away from 0 and 1, where there would be no risk to minimise.
+
+    Features are those that more than one positive text holds, and whose share among positives is more than
+    ``TELLING`` standard errors above that among the unlabelled. Without a confirmed toxic text, as in an empty
+    table, or with nothing that tells them apart, every score is the prior. Of repeated rows one is learned from.
+    """
     sample = sample_training(docs, labels, positives, unlabelled)
     known = labels.filter(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    prior = known.agg(F.avg("toxic")).first()[0]
-    prior = min(max(prior or 0.0, 1e-3), 0.5)
+    if prior is None:
+        prior = known.agg(F.avg("toxic")).first()[0] or 0.0
+    prior = min(max(prior, LEAST_PRIOR), 1 - LEAST_PRIOR)
     sizes = {row.positive: row.n for row in sample.groupBy("positive").agg(F.count("*").alias("n")).collect()}
     names = _telling_features(sample, sizes[1], sizes[0], features) if {0, 1} <= sizes.keys() else []
     if not names:
@@ -161,7 +171,7 @@ def train_toxicity(
     place = {name: i for i, name in enumerate(names)}
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             got = [sorted(place[f] for f in _text_features(t) if f in place) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(got, pa.list_(pa.int32()))], ["positive", "features"]
@@ -177,12 +187,13 @@ def train_toxicity(
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
-    """Returns doc_id, held_out, score and predicted of every row; null text scores as empty text."""
+    """Returns doc_id, held_out, score and predicted of every row; null text scores as empty text, and each
+    of repeated rows is scored. An empty table gives no rows."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # at most ``FEATURES`` weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = sent.value.scorer()
-        for batch in batches:
+        for batch in slices(batches, 2):
             scores = [score(text) for text in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], pa.array(scores, pa.float64())], ["doc_id", "held_out", "score"]

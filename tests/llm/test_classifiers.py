@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -94,6 +97,18 @@ def test_samples_are_full_of_documents_that_are_there_and_bounded(spark, monkeyp
     assert seen == [300]
 
 
+def test_the_prior_is_the_share_of_toxic_labels_or_given(spark):
+    docs = spark.createDataFrame([(i, f"word{i}") for i in range(60)], "doc_id bigint, text string")
+    marks = spark.createDataFrame([(i, 1 if i % 10 else 0) for i in range(60)], "doc_id bigint, toxic int")
+    seen = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    share = sum(1 for i in seen if i % 10) / len(seen)
+    for given, expected in ((None, share), (0.25, 0.25), (1.0, 0.999)):
+        model = train_toxicity(docs, marks, prior=given)  # nothing tells them apart
+        assert share > 0.5 and 1 / (1 + math.exp(-model.intercept)) == pytest.approx(expected)
+    nothing = train_toxicity(docs.filter("false"), marks.filter("false"))
+    assert score_toxicity(docs.filter("false"), nothing).collect() == [] and nothing.intercept < 0
+
+
 def test_odd_rows_and_missing_labels(spark):
     rows = [(1, None, None), (1, None, None), (None, "", "en"), (3, "idiot " * 50_000, None), (4, "a b", "fr")]
     docs = spark.createDataFrame([(d, t, x, 5) for d, t, x in rows], "doc_id bigint, text string, lang string, score int")
