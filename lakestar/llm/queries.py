@@ -148,6 +148,19 @@ ORACLES = {
         SELECT doc_id, slot, list_extract({fill_table(SHARDS, SLOTS)}::INTEGER[], (slot + 1)::INTEGER) AS shard
         FROM (SELECT doc_id, ('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15))::BIGINT % {SLOTS} AS slot
               FROM documents)""",
+    "op10_jaccard_join": r"""
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS k
+              FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s AS a JOIN s AS b ON a.k = b.k AND a.doc_id <> b.doc_id
+              GROUP BY a.doc_id, b.doc_id),
+        e AS (SELECT x, y FROM c JOIN n AS p ON p.doc_id = x JOIN n AS q ON q.doc_id = y
+              WHERE 100 * shared >= 75 * (p.n + q.n - shared)),
+        r AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, e.y FROM r JOIN e ON e.x = r.y)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least_id AS component_id
+        FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS least_id FROM r GROUP BY x) USING (doc_id)""",
     "op11_vector_codes": f"""
         WITH held AS (SELECT vec_id, label, embedding, row_number() OVER (ORDER BY vec_id) - 1 AS place FROM embeddings
                       WHERE embedding IS NOT NULL

@@ -39,7 +39,7 @@ def test_search_finds_every_occurrence(m, patterns, text):
 
 def test_sql_of_contamination_and_sharding(spark):
     con = duckdb.connect()
-    for name in ("documents", "benchmark"):
+    for name in ("documents", "benchmark", "embeddings", "conversations"):
         con.execute(f"create view {name} as select * from '{SMALL}/{name}.parquet'")
     for name, sql in ORACLES.items():
         got = QUERIES[name](spark, SMALL)
