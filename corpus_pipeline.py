@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakestar.llm.common import documents, labels, staged
+from lakestar.llm.common import documents, labels, scope, staged
 from lakestar.llm.decontaminate import drop_contaminated
 from lakestar.llm.jaccard_join import keep_one_of_each
 from lakestar.llm.packing import pack
@@ -60,7 +60,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    """The result of the last stage. What a stage leaves behind goes when the next one is written."""
+    docs, before = documents(spark, sf_dir), None
     for number, (_, stage) in enumerate(STAGES):
-        docs = staged(stage(spark, docs, sf_dir), f"stage-{number}")
+        with scope(spark) as paths:
+            docs = staged(stage(spark, docs, sf_dir), f"stage-{number}")
+            kept = paths.pop()  # the result itself, staged last
+            paths.extend([before] if before else [])
+            before = kept
     return docs
