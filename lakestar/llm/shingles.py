@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 WORDS = 5
-KEPT_WORDS = 200_000
+KEPT_WORDS = 100_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)  # odd, so that multiplying by it loses nothing
 _word_hashes: dict[bytes, int] = {}
@@ -44,6 +44,11 @@ def shingle_set(text: str | None, size: int = WORDS) -> np.ndarray:
     return np.unique(total)
 
 
-def set_hash(shingles: np.ndarray) -> int:
-    """A signed 64-bit hash of a set: equal for equal sets."""
-    return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
+def forget() -> None:
+    """Frees the words kept; tasks call it at their end, since their worker lives on."""
+    _word_hashes.clear()
+
+
+def set_digest(shingles: np.ndarray) -> bytes:
+    """A 128-bit hash of a set: equal for equal sets."""
+    return xxhash.xxh3_128_digest(shingles.tobytes())
