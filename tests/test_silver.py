@@ -3,11 +3,11 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from conftest import rows
+from conftest import final_plan, rows
 
 from lakestar.operators.quality import dedupe_by_key
 from lakestar.plans import silver
-from lakestar.plans.silver import feed_counts, silver_transform, valid_rows
+from lakestar.plans.silver import feed_counts, silver_latest, silver_transform, valid_rows
 from lakestar.specs import FEEDS, LAST_UPDATE, SILVER
 
 D1, D2 = dt.date(2024, 1, 31), dt.date(2024, 2, 1)
@@ -144,3 +144,34 @@ def test_counts_match_the_rows_on_driver_data(spark, app):
     assert counts.valid == valid.count()
     assert counts.invalid_distinct == df.subtract(valid).count()
     assert counts.total == df.count() == counts.valid + counts.invalid_total
+
+
+@pytest.mark.parametrize("app", list(SILVER))
+def test_latest_of_a_delivery_takes_one_shuffle(spark, app):
+    feed, spec = FEEDS[app], SILVER[app]
+    data = []
+    for i in range(60):
+        spelled = [f" k{i % 7} ", f"K{i % 7}", "", None][i % 5 % 4]
+        row = {c: str(i % 4) if i % 9 else None for c in feed.columns}
+        row |= {k: f"{spelled}" if spelled is not None and k != "payment_sequential" else spelled for k in feed.required}
+        data.append((*row.values(), [D1, D2, None][i % 3]))
+    df = bronze(spark, app, data + data[:20])
+    got = silver_latest(df, spec)
+    assert rows(got) == rows(dedupe_by_key(silver_transform(df, spec), spec.keys, order_col=LAST_UPDATE))
+    plan = final_plan(got)
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "WindowGroupLimit" not in plan[plan.index("Exchange") :]  # no sort before it
+
+
+def test_stored_inputs_are_written_as_they_come(spark):
+    """No shuffle by turns and no sort by folders: both spill whole rows of a large feed."""
+    from conftest import SMOKE_DIR
+
+    from lakestar.verification import stages
+
+    stages._written.clear()
+    df = stages.bronze_table(spark, SMOKE_DIR, "Orders", 2)
+    assert df.count() == stages.feed(spark, SMOKE_DIR, "Orders", 2).count()
+    assert stages.feed(spark, SMOKE_DIR, "Orders", 2).rdd.getNumPartitions() >= len(df.inputFiles())
+    dim = stages.dimension(spark, SMOKE_DIR, "Orders", 2)
+    assert not any("is_current=" in f for f in dim.inputFiles())
