@@ -59,17 +59,20 @@ def dedupe_by_key(
 def key_groups(df: DataFrame, keys: Sequence[str], order_col: str | None = "load_date") -> DataFrame:
     """One row per key: the row ``dedupe_by_key`` keeps, its number of rows and of distinct rows.
 
-    Exact copies collapse first, then the distinct rows of a key; both steps combine on the map
-    side. Null keys form groups of their own, so nothing is lost from the counts.
+    Rows are dealt by all their columns and sorted there, in partitions of the size a shuffle gives; nothing
+    is held by the tasks that read the table, which would spill most of a large file to find few copies. The
+    same sort serves the first step of the rows of a key, so a hot key costs one row per task. Null keys form groups
+    of their own, so nothing is lost from the counts.
     """
     if order_col is not None and order_col not in df.columns:
         order_col = None
     ranked = latest_first(df, keys, order_col)
-    distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(ROWS))
-    counts = [F.sum(ROWS).alias(ROWS), F.count(F.lit(1)).alias(DISTINCT_ROWS)]
+    copies = Window.partitionBy(*keys, *ranked).orderBy(*keys)
+    marked = df.withColumn(DISTINCT_ROWS, F.row_number().over(copies) == 1)
+    counts = [F.count(F.lit(1)).alias(ROWS), F.count_if(F.col(DISTINCT_ROWS)).alias(DISTINCT_ROWS)]
     if not ranked:
-        return distinct.groupBy(*keys).agg(*counts).select(*df.columns, ROWS, DISTINCT_ROWS)
-    grouped = distinct.groupBy(*keys).agg(F.max(F.struct(*ranked)).alias("_top"), *counts)
+        return marked.groupBy(*keys).agg(*counts).select(*df.columns, ROWS, DISTINCT_ROWS)
+    grouped = marked.groupBy(*keys).agg(F.max(F.struct(*ranked)).alias("_top"), *counts)
     columns = [F.col(c) if c in keys else F.col(f"_top.{c}").alias(c) for c in df.columns]
     return grouped.select(*columns, ROWS, DISTINCT_ROWS)
 

@@ -128,6 +128,23 @@ def test_a_hot_key_is_cut_down_before_the_shuffle(spark):
     assert result.count() == 2001
 
 
+def test_groups_hold_nothing_before_the_shuffle(spark):
+    """Copies are found behind the first shuffle, by the sort that the rows of a key need anyway."""
+    df = spark.createDataFrame(random_rows(6), SCHEMA)
+    plan = final_plan(key_groups(df, ["id", "part"]))
+    below = plan[plan.rindex("Exchange hashpartitioning") :]
+    assert "Sort" not in below and "Aggregate" not in below
+    assert plan.count("Exchange hashpartitioning") == 2 and "HashAggregate" not in plan
+
+
+def test_groups_of_copies_and_null_keys(spark):
+    data = [("a", None, None, "1")] * 3 + [("a", None, None, "2"), (None, None, None, None)] + [(None, None, None, "3")] * 2
+    df = spark.createDataFrame(data, "id string, part string, load_date string, score string").repartition(3)
+    assert rows(key_groups(df, ["id", "part"])) == [
+        (None, None, None, "3", 3, 2), ("a", None, None, "2", 4, 2),
+    ]
+
+
 def test_invalid_rows_takes_one_shuffle(spark):
     df = spark.createDataFrame(random_rows(5), SCHEMA)
     plan = final_plan(invalid_rows(df, df.filter("score = '1'")))
