@@ -109,7 +109,7 @@ def test_outliers_are_patched():
 
 
 def test_token_files(spark, tmp_path):
-    ids = [5, 3, 9, 1, 7, 0, 2, 3]
+    ids = [5, 3, 9, 1, 7, 0, 2, 3, 4]
     write_token_files(docs(spark, TEXTS, ids), str(tmp_path / "t"), WORD, True)
     got = read_token_files(spark, str(tmp_path / "t")).orderBy("start").collect()
     start, expected = 0, []
