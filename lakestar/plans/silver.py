@@ -35,7 +35,8 @@ def valid_rows(bronze: DataFrame, feed: FeedSpec, normalize_keys_first: bool = F
         for key in feed.dedupe_keys:
             if key in clean:
                 rows = rows.withColumn(key, clean[key](F.col(key)).cast("string"))
-    rows = dedupe_by_key(rows, feed.dedupe_keys, order_col=LOAD_DATE)
+    # Dealt before they are sorted: a task that reads a large file would hold or spill all its rows for that.
+    rows = dedupe_by_key(rows.repartition(*feed.dedupe_keys), feed.dedupe_keys, order_col=LOAD_DATE)
     return rows.filter(feed.accept()) if feed.accept else rows
 
 

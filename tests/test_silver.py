@@ -175,3 +175,12 @@ def test_stored_inputs_are_written_as_they_come(spark):
     assert stages.feed(spark, SMOKE_DIR, "Orders", 2).rdd.getNumPartitions() >= len(df.inputFiles())
     dim = stages.dimension(spark, SMOKE_DIR, "Orders", 2)
     assert not any("is_current=" in f for f in dim.inputFiles())
+
+
+def test_valid_rows_are_dealt_before_they_are_sorted(spark):
+    df = bronze(spark, "Customers", [("c1", "a", "x", "y", D1), ("c1", "b", "x", "y", D2), (None, "c", "x", "y", D1)])
+    got = valid_rows(df, FEEDS["Customers"])
+    assert rows(got) == [("c1", "b", "x", "y", D2)]
+    plan = final_plan(got)
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "Sort" not in plan[plan.index("Exchange") :]
