@@ -208,6 +208,16 @@ def test_a_hot_key_is_split_among_tasks(spark, conf):
     assert got.filter("reasons = 4").count() == 19999
 
 
+def test_verdicts_deal_rows_before_copies_are_looked_for(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    df = spark.createDataFrame([("a", "x", "1", "d"), ("a", "x", "1", "d"), ("a", "x", "2", "d")], SCHEMA).repartition(2)
+    got = verdicts(df, ["id", "part"], ["id", "part"])
+    assert sorted((r.score, r.reasons, r.n_rows) for r in got.collect()) == [("1", SUPERSEDED, 2), ("2", 0, 1)]
+    plan = final_plan(got)
+    assert plan.count("REPARTITION_BY_COL") == 2 and "ReusedExchange" in plan  # one shuffle of the rows, used twice
+    assert "HashAggregate" not in plan[plan.index("REPARTITION_BY_COL") :].split("Scan")[0]
+
+
 def test_reasons_in_words(spark):
     df = spark.createDataFrame([(0,), (1,), (12,)], "r int")
     assert [r[0] for r in df.select(reason_names(F.col("r"))).collect()] == [
