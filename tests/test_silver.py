@@ -177,6 +177,20 @@ def test_stored_inputs_are_written_as_they_come(spark):
     assert not any("is_current=" in f for f in dim.inputFiles())
 
 
+def test_a_silver_table_meets_its_dimension_without_another_shuffle(spark, conf):
+    from conftest import SMOKE_DIR
+
+    from lakestar.operators.scd2 import scd2_active
+    from lakestar.specs import DIMENSIONS
+    from lakestar.verification import stages
+
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    source = stages.silver_table(spark, SMOKE_DIR, "Orders", 2)
+    stored = stages.dimension(spark, SMOKE_DIR, "Orders", 1)
+    plan = final_plan(scd2_active(source, stored, DIMENSIONS["Orders"], stages.DAY[2]))
+    assert plan.count("Exchange hashpartitioning") == 2  # one for the delivery, one for the stored versions
+
+
 def test_valid_rows_are_dealt_before_they_are_sorted(spark):
     df = bronze(spark, "Customers", [("c1", "a", "x", "y", D1), ("c1", "b", "x", "y", D2), (None, "c", "x", "y", D1)])
     got = valid_rows(df, FEEDS["Customers"])
