@@ -5,8 +5,10 @@ gives the same ids in a third of the time. tiktoken merges by rank and knows no
 checked first: that its merges come in order of their ids, and that merging any token's own bytes by rank ends
 with the very pair the list has for it. Any other tokenizer is run by the tokenizers library. Those used here
 never let a token span a change from visible text to a space or line end, so a text is cut there and each
-distinct piece is encoded once per worker. The pieces kept are bounded. A text that spells out one of the added
-tokens is given to the tokenizers library whole, which gives that token's id.
+distinct piece is encoded once per worker. The pieces kept are bounded. A call of the library costs more than the
+merges of one word, so pieces of letters alone are given to it many in a line; a tokenizer that marks the ends of
+words says where each one's ids end. A text that spells out one of the added tokens is given to the tokenizers
+library whole, which gives that token's id.
 """
 
 from __future__ import annotations
@@ -26,8 +28,11 @@ KEPT_PIECES = 300_000
 # Fixed value: how a byte-level tokenizer splits text before merging.
 BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-_MARKS = frozenset(".,;:!?")
-_LETTERS = frozenset("abcdefghijklmnopqrstuvwxyz")
+LINE = 20  # words given to the library at once
+
+# Lines of a word of Latin letters that stay one letter each when they are lower-cased, and of the marks behind it,
+# none of which may begin a contraction.
+_ENDED = re.compile(r"^([a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)([!-&(-/:-@\[-`{-~]*)$", re.M)
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 _encoders: dict[tuple[str, bool], Encoder] = {}
 
@@ -39,10 +44,15 @@ def encoder(path: str, folds: bool = False) -> Encoder:
     return _encoders[path, folds]
 
 
-def _quick(path: str):
+def _byte_of() -> dict[str, int]:
+    """Byte-level files spell bytes as printable characters: those that are, and the rest from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(b): b for b in shown}
+    return byte_of | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(shown))}
+
+
+def _quick(path: str, spec: dict):
     """The tiktoken encoding of a plain byte-level BPE file, or None for any other tokenizer."""
-    with open(path, encoding="utf-8") as file:
-        spec = json.load(file)
     model, split = spec["model"], spec.get("pre_tokenizer") or {}
     plain = (
         model.get("type") == "BPE"
@@ -54,10 +64,7 @@ def _quick(path: str):
     )
     if not plain:
         return None
-    # Byte-level files spell bytes as printable characters: those that are, and the rest from 256 on.
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    byte_of = {chr(b): b for b in shown}
-    byte_of |= {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(shown))}
+    byte_of = _byte_of()
     special = {token["content"] for token in spec.get("added_tokens", ())}
 
     def raw(token: str) -> bytes:
@@ -91,6 +98,17 @@ def merges_by_rank(ranks: dict[bytes, int], merges: Sequence[tuple[bytes, bytes]
     return True
 
 
+def _word_ends(spec: dict) -> np.ndarray | None:
+    """Which ids end a word, of a BPE that has every byte inside and at the end of words; else None."""
+    model = spec["model"]
+    vocab, suffix = model["vocab"], model.get("end_of_word_suffix")
+    if model.get("type") != "BPE" or not suffix or any(c not in vocab or c + suffix not in vocab for c in _byte_of()):
+        return None
+    ends = np.zeros(max(vocab.values()) + 1, bool)
+    ends[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+    return ends
+
+
 class Encoder:
     """``folds`` says that the tokenizer lower-cases and drops white space, so that pieces may lose
     both before they are looked up."""
@@ -104,9 +122,13 @@ class Encoder:
         self.tokenizer.no_padding()
         if hasattr(self.tokenizer.model, "_resize_cache"):
             self.tokenizer.model._resize_cache(0)  # every piece comes once; its own cache only costs
-        self.quick = _quick(path)
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        self.quick = _quick(path, spec)
+        self.ends = _word_ends(spec) if folds else None
         added = self.tokenizer.get_added_tokens_decoder().values()
-        either_case = re.I if any(token.normalized for token in added) else 0
+        # Pieces that lose their case would turn into the token.
+        either_case = re.I if folds or any(token.normalized for token in added) else 0
         self.added = re.compile("|".join(re.escape(token.content) for token in added) or "(?!)", either_case)
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.folds = folds
@@ -126,19 +148,44 @@ class Encoder:
         for piece in again:
             self.known[piece] = self.older[piece]
         fresh, ended = new - again, []
-        if self.folds:  # a word with a mark behind it is the word and the mark
-            ended = [p for p in fresh if p[-1:] in _MARKS and p[-2:-1] in _LETTERS]
-            fresh.difference_update(ended)
-            fresh.update({part for p in ended for part in (p[:-1], p[-1])} - self.known.keys())
+        if self.folds:  # a word with marks behind it is the word and the marks
+            found = _ENDED.findall("\n".join(fresh))
+            ended = [(word + marks, word, marks) for word, marks in found if marks]
+            words = {word for word, _ in found}
+            fresh.difference_update(words, (p for p, _, _ in ended))
+            fresh.update({marks for _, _, marks in ended} - self.known.keys())
+            words = list(words - self.known.keys())
+            learn = self._learn_each if self.ends is None else self._learn_words
+            for i in range(0, len(words), 1000):
+                learn(words[i : i + 1000])
         fresh = list(fresh)
         for i in range(0, len(fresh), 1000):
-            some = fresh[i : i + 1000]
-            got = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-            raw = np.fromiter(chain.from_iterable(got), self.type).tobytes()
-            ends = list(accumulate(len(ids) * self.type.itemsize for ids in got))
-            self.known.update(zip(some, [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
-        for piece in ended:
-            self.known[piece] = self.known[piece[:-1]] + self.known[piece[-1]]
+            self._learn_each(fresh[i : i + 1000])
+        for piece, word, marks in ended:
+            self.known[piece] = self.known[word] + self.known[marks]
+
+    def _ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces one behind the other, and where each one's end."""
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(got), self.type), np.fromiter(accumulate(map(len, got)), np.int64)
+
+    def _keep(self, pieces: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        raw, at = ids.tobytes(), (ends * self.type.itemsize).tolist()
+        self.known.update(zip(pieces, [raw[a:b] for a, b in zip([0, *at], at, strict=False)], strict=True))
+
+    def _learn_each(self, pieces: list[str]) -> None:
+        self._keep(pieces, *self._ids(pieces))
+
+    def _learn_words(self, words: list[str]) -> None:
+        lines = [words[i : i + LINE] for i in range(0, len(words), LINE)]
+        ids, line_ends = self._ids([" ".join(line) for line in lines])
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        # As many ends in each line as words, the last one at its end; otherwise words are not what they seem.
+        places = np.cumsum([len(line) for line in lines])
+        if len(ends) == places[-1] and np.array_equal(ends[places - 1], line_ends):
+            self._keep(words, ids, ends)
+        else:
+            self._learn_each(words)
 
     def encode(self, texts: Sequence[str | None], end: int | None = END_ID) -> list[np.ndarray]:
         """Ids of each text as little-endian unsigned 32-bit numbers; null is empty."""

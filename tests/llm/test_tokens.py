@@ -65,6 +65,34 @@ def test_pieces_give_the_ids_of_the_whole_text(path):
         assert [list(x) for x in encoder.encode(TEXTS)] == [plain(path, t) for t in TEXTS]
 
 
+def test_an_added_token_in_capitals_alone_is_plain_text():
+    encoder = Encoder(WORD, True)
+    for text in ("<|ENDOFTEXT|>", "a <|EndOfText|>. b"):
+        assert list(encoder.encode([text])[0]) == plain(WORD, text)
+
+
+class Counting:
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_words_are_given_to_the_library_many_at_once():
+    words = [f"{a}{b}é{c}" for a in "xyzß" for b in "abÀn" for c in ("", "q", "Ü", "ŉ", "ſ")]
+    texts = [" ".join(w + m for w in words) for m in ("", ".", "&&&", "'s", "'", "İ", "1", "\u0301", "$#")]
+    encoder = Encoder(WORD, True)
+    encoder.tokenizer = Counting(encoder.tokenizer)
+    expected = [plain(WORD, t) for t in texts]
+    assert [list(x) for x in encoder.encode(texts[:3])] == expected[:3]
+    assert encoder.tokenizer.texts <= len(words) // 20 + 4  # each word in one line, and the marks
+    assert [list(x) for x in encoder.encode(texts)] == expected
+    encoder.known, encoder.ends = {}, ~encoder.ends  # ends that do not fit
+    assert [list(x) for x in encoder.encode(texts)] == expected
+
+
 def test_ranks_that_do_not_follow_the_merges_are_told_apart():
     one = {bytes([b]): b for b in range(256)}
     merges = [(b"a", b"b"), (b"b", b"c"), (b"ab", b"c")]
