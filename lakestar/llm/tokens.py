@@ -153,8 +153,8 @@ class Encoder:
             ended = [(word + marks, word, marks) for word, marks in found if marks]
             words = {word for word, _ in found}
             fresh.difference_update(words, (p for p, _, _ in ended))
-            fresh.update({marks for _, _, marks in ended} - self.known.keys())
-            words = list(words - self.known.keys())
+            fresh.update({marks for _, _, marks in ended}.difference(self.known))
+            words = list(words.difference(self.known))
             learn = self._learn_each if self.ends is None else self._learn_words
             for i in range(0, len(words), 1000):
                 learn(words[i : i + 1000])
@@ -203,7 +203,8 @@ class Encoder:
         if len(self.known) > KEPT_PIECES:
             self.older, self.known = self.known, {}
         cut = [self._cut(text) for text in texts]
-        self._learn(set().union(*cut) - self.known.keys())
+        # Not minus its keys, which would go through all that are known.
+        self._learn(set().union(*cut).difference(self.known))
         tail = b"" if end is None else np.array([end], self.type).tobytes()
         known = self.known.__getitem__
         return [np.frombuffer(b"".join(map(known, c)) + tail, self.type).astype("<u4") for c in cut]
