@@ -8,6 +8,7 @@ from .columns import (
     clean_title,
     in_range,
     money,
+    pack,
     parse_day,
     parse_timestamp,
     skey_name,
@@ -16,6 +17,7 @@ from .columns import (
     to_float,
     to_int,
     to_money,
+    unpack,
 )
 
 __all__ = [
@@ -28,6 +30,7 @@ __all__ = [
     "clean_title",
     "in_range",
     "money",
+    "pack",
     "parse_day",
     "parse_timestamp",
     "skey_name",
@@ -36,4 +39,5 @@ __all__ = [
     "to_float",
     "to_int",
     "to_money",
+    "unpack",
 ]

@@ -112,3 +112,16 @@ def test_money_totals_do_not_depend_on_order(spark):
     assert df.select(L.money(F.sum(L.to_money(F.col("t"))))).collect()[0][0] == 100.01
     tenths = spark.createDataFrame([("0.1",)] * 10, "t string").repartition(5)
     assert tenths.select(L.money(F.sum(L.to_money(F.col("t"))))).collect()[0][0] == 1.0
+
+
+def test_packed_texts_come_back_and_sort_as_their_columns(spark):
+    values = [None, "", "a", "a\x00", "a\x01", "\x00", "\x01", "\x01\x01", "\x01\x00\x02", "\x02", " b ", "é"]
+    data = [(a, b) for a in values for b in values]
+    df = spark.createDataFrame(data, "a string, b string")
+    df = df.unionByName(df.select(F.unhex(F.lit("FF00FE")).cast("string").alias("a"), "b"))
+    packed = df.withColumn("p", L.pack(["a", "b"]))
+    back = packed.select("a", "b", "p", *[v.alias(f"{c}_2") for c, v in L.unpack(F.col("p"), ["a", "b"]).items()])
+    assert back.filter(~(F.col("a").eqNullSafe(F.col("a_2")) & F.col("b").eqNullSafe(F.col("b_2")))).count() == 0
+    order = [F.col(c).desc_nulls_last() for c in ("a", "b")]
+    by_columns = [r.p for r in packed.orderBy(*order).select(F.hex("p").alias("p")).collect()]
+    assert by_columns == [r.p for r in packed.orderBy(F.col("p").desc()).select(F.hex("p").alias("p")).collect()]

@@ -204,3 +204,16 @@ def test_a_run_on_or_before_the_stored_start_changes_nothing(spark, as_of):
     assert scd2.scd2_inactive(src, dim, SELLERS, as_of).count() == 0
     later = load(spark, dim, src, SELLERS, dt.date(2024, 1, 21)).collect()
     assert all(r.eff_start_dt <= r.eff_end_dt for r in later) and len(later) == 2
+
+
+def test_applying_changes_shuffles_each_delivery_once(spark, conf):
+    """Two days of raw rows are dealt by the business key; join and upsert take them as they are."""
+    from conftest import SMOKE_DIR
+
+    from lakestar.verification.queries import QUERIES
+    from lakestar.verification.stages import dimension
+
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    plan = final_plan(QUERIES["scd2_apply_orders"](spark, SMOKE_DIR))
+    assert plan.count("Exchange hashpartitioning") - plan.count("ReusedExchange") == 2
+    assert not dimension(spark, SMOKE_DIR, "Orders", 2).inputFiles()[0].count("lakestar")

@@ -110,3 +110,18 @@ def test_a_costly_batch_is_shuffled_once(spark, conf, tmp_path):
     )
     assert "ReusedExchange" in final_plan(got)
     assert got.count() == 2000
+
+
+@pytest.mark.parametrize("scope", ["table", "partition"])
+def test_one_window_gives_the_rows_of_the_join(spark, conf, scope):
+    rng = random.Random(7)
+    pick = lambda *xs: rng.choice(xs)
+    both = [[(pick(None, "a", "b", str(rng.randrange(9))), pick("p", "q", None), rng.randrange(3), pick("x", None)) for _ in range(60)] for _ in (0, 1)]
+    old, new = (spark.createDataFrame(d, "id string, part string, seq int, value string") for d in both)
+    expected = upsert(old, new, ["id"], "seq", scope, ["part"])
+    assert rows(upsert(old, new, ["id"], "seq", scope, ["part"], together=True)) == rows(expected)
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    dealt = [df.repartition(4, "id") for df in (old, new)]
+    assert final_plan(upsert(*dealt, ["id"], "seq", scope, ["part"], together=True)).count("Exchange") == 2
+    with pytest.raises(ValueError, match="keep_newer"):
+        upsert(old, new, ["id"], "seq", scope, ["part"], keep_newer=True, together=True)
