@@ -9,6 +9,7 @@ import pytest
 from conftest import final_plan, rows
 from pyspark.sql import functions as F
 
+from lakestar.operators.quality import quality_totals
 from lakestar.plans.bronze import add_audit
 from lakestar.plans.lakehouse import Lakehouse
 from lakestar.plans.loads import ingest_from_spec
@@ -488,3 +489,38 @@ def test_what_a_load_does_not_keep_is_stored_with_reasons(spark, tmp_path):
     lake.ingest("Sellers", str(tmp_path / "2.csv"))
     assert lake.load_silver("Sellers").invalid_total == 0
     assert lake.rejected("Sellers").count() == 0
+
+
+def test_a_load_shuffles_its_feed_once_and_its_batch_not_at_all(spark, tmp_path, conf):
+    """Counts, item rows and the latest row of a key share a shuffle; the batch is unique when it is merged."""
+    from lakestar.plans.silver import clean_names, standardize, valid_groups
+    from lakestar.specs import SILVER
+
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    spec = SILVER["Order_Items"]
+    one = ("o1", "1", "p1", "s1", "01-01-2024 10:00:00 AM", "1.00", "0.50", dt.date(2024, 1, 1))
+    data = [one, one, (" O1 ", *one[1:]), (None, *one[1:]), (None, *one[1:]), ("o2", "1", None, *one[3:])]
+    bronze = spark.createDataFrame(data, ", ".join(f"{c} string" for c in spec.feed.columns) + ", load_date date")
+    groups = valid_groups(bronze, spec)
+    assert groups.agg(*quality_totals()).first() == (6, 2, 2, 4)
+    clean = clean_names(spec)
+    valid = groups.filter("_valid").select(*spec.feed.columns, "load_date", *clean.values())
+    batch = tables.latest_in_batch(standardize(valid, spec, clean), spec.bucketed())
+    assert [(r.order_id, r.item_quantity) for r in batch.collect()] == [("O1", 2)]
+    assert final_plan(batch).count("Exchange hashpartitioning") == 1
+    root = str(tmp_path / "t")
+    for _ in range(2):
+        tables.merge_partitions(spark, root, BUCKETED, frame(spark, [("a", "p", 1), ("b", "q", 1)]), unique=True)
+    assert tables.read_table(spark, root, BUCKETED.schema).count() == 2
+
+
+def test_touched_folders_are_pruned_for_a_batch_too_large_to_broadcast(spark, tmp_path, conf):
+    root = str(tmp_path / "t")
+    tables.merge_partitions(spark, root, SPEC, frame(spark, [("a", "p", 1), ("b", "q", 1), ("c", None, 1)]))
+    conf(spark__sql__autoBroadcastJoinThreshold="20k")
+    big = spark.range(3000).selectExpr("cast(id as string) id", "'q' part", "1 seq").repartition(2)
+    big.write.parquet(f"{tmp_path}/big")
+    batch = spark.read.parquet(f"{tmp_path}/big")
+    batch = batch.unionByName(batch).unionByName(batch).unionByName(batch)
+    found = tables.in_partitions_of(tables.read_table(spark, root, SPEC.schema), batch, ["part"])
+    assert "SortMergeJoin" not in final_plan(found) and [r.id for r in found.collect()] == ["b"]
